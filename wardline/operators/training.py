@@ -105,16 +105,15 @@ def fit_logistic(train: DataFrame, label: str = TARGET) -> PipelineModel:
 
 
 def boosted_trees(label: str = TARGET, seed: int = 42, params: Mapping | None = None) -> GBTClassifier:
-    return GBTClassifier(
+    learner = GBTClassifier(
         featuresCol=VECTOR,
         labelCol=label,
         weightCol="class_weight",
-        probabilityCol="gbt_probability",
-        rawPredictionCol="gbt_raw",
         predictionCol="gbt_class",
         seed=seed,
         **{**TREE_DEFAULTS, **(params or {})},
     )
+    return learner.setProbabilityCol("gbt_probability").setRawPredictionCol("gbt_raw")
 
 
 def random_forest(label: str = TARGET, seed: int = 42, params: Mapping | None = None) -> RandomForestClassifier:
