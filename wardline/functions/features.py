@@ -1,5 +1,4 @@
-"""Row-wise feature transforms on the claim-level view. No shuffle in any of them,
-except the patient join of ``with_comorbidity_flags``."""
+"""Row-wise feature transforms on the claim-level view; none of them shuffles."""
 
 from __future__ import annotations
 
@@ -9,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import AGE_BINS, AGE_LABELS
-from wardline.sources.columns import CONDITION_CODES, HIGH_WEIGHT_CONDITIONS
+from wardline.sources.columns import HIGH_WEIGHT_CONDITIONS
 
 # Model features in training order.
 FEATURE_COLUMNS = (
@@ -147,30 +146,12 @@ def with_discharge_features(df: DataFrame) -> DataFrame:
     )
 
 
-def condition_flags(conditions: DataFrame) -> DataFrame:
-    """One row per patient with a 0/1 column per condition."""
-    present = conditions.where(F.col("indicator").isin(1, 2))
-    return present.groupBy("bene_id").agg(
-        *[
-            F.max((F.col("condition_code") == code).cast("int")).alias(f"cond_{code}")
-            for code in CONDITION_CODES.values()
-        ]
-    )
-
-
 def high_weight_flag() -> Column:
     return F.greatest(*[F.col(f"cond_{c}") for c in HIGH_WEIGHT_CONDITIONS])
 
 
-def with_comorbidity_flags(df: DataFrame, conditions: DataFrame) -> DataFrame:
-    """Left join of the condition flags by patient; patients without any get zeros.
-
-    The flag table has one row per patient, so a patient with very many claims only
-    skews the claim side, which adaptive execution splits.
-    """
-    names = [f"cond_{c}" for c in CONDITION_CODES.values()]
-    joined = df.join(condition_flags(conditions), "bene_id", "left").fillna(0, names)
-    return joined.withColumn("has_high_weight_comorbidity", high_weight_flag())
+def with_high_weight_flag(df: DataFrame) -> DataFrame:
+    return df.withColumn("has_high_weight_comorbidity", high_weight_flag())
 
 
 def with_row_features(df: DataFrame, bins=AGE_BINS, labels=AGE_LABELS) -> DataFrame:

@@ -14,6 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.functions.features import with_high_weight_flag
+from wardline.sources.columns import CONDITION_CODES
+
 # Patient attributes carried into the feature view.
 PATIENT_COLUMNS = ("sex_cd", "race_cd", "hmo_coverage_months", "hi_coverage_months", "medreimb_ip", "death_dt")
 DEATH_WINDOW_DAYS = 30
@@ -27,8 +30,19 @@ def age_in_years(birth: Column, day: Column) -> Column:
 
 def comorbidity_counts(conditions: DataFrame) -> DataFrame:
     """``bene_id, elixhauser_count`` over indicators 1 and 2."""
+    return comorbidity_profile(conditions, flags=False)
+
+
+def comorbidity_profile(conditions: DataFrame, flags: bool = True) -> DataFrame:
+    """One row per patient: condition count and, if asked, a 0/1 column per condition."""
     present = conditions.where(F.col("indicator").isin(1, 2))
-    return present.groupBy("bene_id").agg(F.count("*").cast("int").alias("elixhauser_count"))
+    columns = [F.count("*").cast("int").alias("elixhauser_count")]
+    if flags:
+        columns += [
+            F.max((F.col("condition_code") == code).cast("int")).alias(f"cond_{code}")
+            for code in CONDITION_CODES.values()
+        ]
+    return present.groupBy("bene_id").agg(*columns)
 
 
 def admission_days(claims: DataFrame, windows: Sequence[int] = (90, 365)) -> DataFrame:
@@ -79,10 +93,18 @@ def patient_features(
     conditions: DataFrame,
     windows: Sequence[int] = (90, 365),
     keep_next_admit: bool = False,
+    condition_flags: bool = False,
 ) -> DataFrame:
-    """The feature view: one row per claim whose patient is known."""
-    patients = beneficiaries.join(comorbidity_counts(conditions), "bene_id", "left").select(
-        "bene_id", "birth_dt", "elixhauser_count", *PATIENT_COLUMNS
+    """The feature view: one row per claim whose patient is known.
+
+    ``keep_next_admit`` adds ``next_admit_dt`` for the readmission label;
+    ``condition_flags`` adds the 0/1 condition columns, joined per patient and day
+    along with the other patient attributes instead of by a further join of claims.
+    """
+    profile = comorbidity_profile(conditions, condition_flags)
+    counted = [c for c in profile.columns if c != "bene_id"]
+    patients = beneficiaries.join(profile, "bene_id", "left").select(
+        "bene_id", "birth_dt", *PATIENT_COLUMNS, *[F.coalesce(c, F.lit(0)).alias(c) for c in counted]
     )
     days = admission_days(claims, windows).join(patients, "bene_id")
     rows = on_admission_day(claims, days)
@@ -105,11 +127,24 @@ def patient_features(
         age_in_years(F.col("birth_dt"), F.col("admit_dt")).alias("age_at_admit"),
         F.datediff("discharge_dt", "admit_dt").alias("los_days"),
         F.when(death_known, 1).otherwise(0).alias("died_within_30d"),
-        F.coalesce("elixhauser_count", F.lit(0)).alias("elixhauser_count"),
+        "elixhauser_count",
         *[f"prior_admits_{w}d" for w in windows],
         "days_since_last_admit",
         *PATIENT_COLUMNS,
     ]
     if keep_next_admit:
         columns.append(next_admission(F.col("last_claim"), F.col("next_day")).alias("next_admit_dt"))
+    if condition_flags:
+        columns += [c for c in counted if c.startswith("cond_")]
     return rows.select(*columns)
+
+
+def with_comorbidity_flags(df: DataFrame, conditions: DataFrame) -> DataFrame:
+    """Join the condition flags onto any frame with ``bene_id``; no condition means zeros.
+
+    The profile has one row per patient, so a patient with very many claims skews only
+    the other side, which adaptive execution splits.
+    """
+    names = [f"cond_{code}" for code in CONDITION_CODES.values()]
+    profile = comorbidity_profile(conditions).select("bene_id", *names)
+    return with_high_weight_flag(df.join(profile, "bene_id", "left").fillna(0, names))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wardline.functions.features import HIGH_COST_TARGET, LOS_TARGET, TARGET
 from wardline.operators.history import admission_days, next_admission
 from wardline.operators.ordering import exact_quantile, stratified_rank
+from wardline.operators.store import materialize
 
 # The DRG column is a 16-bit code, so an encoding has at most 65,537 rows.
 MAX_DRG_CODES = 65_537
@@ -109,11 +110,13 @@ def fit_target_encoding(
 ) -> TargetEncoding:
     """Blend each category's mean with the prior: weight 1 / (1 + exp(-(n - k) / s)).
 
-    The formula is Micci-Barreca's (2001). ``column`` must hold 16-bit codes.
+    The formula is Micci-Barreca's (2001). ``column`` must hold 16-bit codes, which
+    bounds the statistics; they are written, so fitting reads the training rows once.
     """
-    stats = train.groupBy(F.col(column).try_cast("smallint").alias("category")).agg(
+    grouped = train.groupBy(F.col(column).try_cast("smallint").alias("category")).agg(
         F.count(target).alias("n"), F.sum(target).alias("positives")
     )
+    stats = materialize(grouped, "target-means")
     prior = stats.agg((F.sum("positives") / F.sum("n")).alias("prior"))
     weight = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("n") - min_samples) / F.lit(smoothing)))
     mean = F.col("positives") / F.col("n")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.operators.ordering import running_totals
+from wardline.operators.store import materialize
 
 # Edges of the ten equal calibration bins (multiples of 0.1 as doubles).
 BIN_EDGES = tuple(i * 0.1 for i in range(11))
@@ -29,8 +30,12 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score: own counts, running counts and the totals ``p`` and ``n``."""
-    counts = score_counts(df, label, score)
+    """Per distinct score: own counts, running counts and the totals ``p`` and ``n``.
+
+    The counts are written once: bounds, running totals and totals read that table
+    instead of scoring again.
+    """
+    counts = materialize(score_counts(df, label, score), "score-counts")
     totals = counts.agg(F.struct(F.sum("tp").alias("p"), F.sum("fp").alias("n")).alias("totals"))
     run = running_totals(counts, "score", ["tp", "fp"], ascending=False)
     return run.withColumn("totals", totals.scalar()).select("*", "totals.p", "totals.n").drop("totals")

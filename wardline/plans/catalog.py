@@ -104,23 +104,24 @@ class Job(OrderTables):
     def matrix(self) -> DataFrame:
         """All features and labels before target encoding."""
         limit = labels.fit_high_cost_threshold(self.claims, SETTINGS.high_cost_percentile)
-        rows = fx.with_row_features(self.features)
-        return labels.with_labels(fx.with_comorbidity_flags(rows, self.conditions), limit)
+        view = history.patient_features(
+            self.claims, self.beneficiaries, self.conditions, keep_next_admit=True, condition_flags=True
+        )
+        rows = fx.with_high_weight_flag(fx.with_row_features(view))
+        return labels.with_labels(rows, limit)
 
     @cached_property
-    def sides(self) -> tuple[DataFrame, DataFrame]:
-        """Encoded (train, test) model rows."""
-        encoding = labels.fit_target_encoding(labels.split_by_date(self.matrix, SPLIT)[0])
-        encoded = encoding.apply(self.matrix, "drg_cd_encoded")
-        kept = [*fx.ID_COLUMNS, *fx.FEATURE_COLUMNS, fx.TARGET, fx.LOS_TARGET, fx.HIGH_COST_TARGET]
-        return labels.split_by_date(encoded.select(*kept), SPLIT)
+    def encoded(self) -> DataFrame:
+        """Model rows, with the encoding fitted before the split date."""
+        encoding = labels.fit_target_encoding(labels.split_by_date(self.labelled, SPLIT)[0])
+        rows = encoding.apply(self.matrix, "drg_cd_encoded")
+        targets = [fx.TARGET, fx.LOS_TARGET, fx.HIGH_COST_TARGET]
+        return rows.select(*fx.ID_COLUMNS, *fx.FEATURE_COLUMNS, *targets)
 
     @cached_property
     def stored_sides(self) -> tuple[DataFrame, DataFrame]:
-        """The model rows as written tables: training makes many passes."""
-        train, test = self.sides
-        both = store.materialize(train.unionByName(test), "model-rows")
-        return labels.split_by_date(both, SPLIT)
+        """(train, test) rows as a written table: training makes many passes."""
+        return labels.split_by_date(store.materialize(self.encoded, "model-rows"), SPLIT)
 
 
 def query(function: Callable[[Job], DataFrame]) -> Callable[[Job], DataFrame]:
@@ -402,7 +403,7 @@ def discharge_risk(job: Job) -> DataFrame:
 
 @query
 def comorbidity_pivot(job: Job) -> DataFrame:
-    flags = fx.with_comorbidity_flags(job.claims.select("claim_id", "bene_id"), job.conditions)
+    flags = history.with_comorbidity_flags(job.claims.select("claim_id", "bene_id"), job.conditions)
     names = [f"cond_{c}" for c in CONDITION_CODES.values()]
     return flags.select("claim_id", *names, "has_high_weight_comorbidity")
 
@@ -416,8 +417,8 @@ def model_matrix(job: Job) -> DataFrame:
 
 @query
 def feature_pipeline(job: Job) -> DataFrame:
-    train, test = job.sides
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    side = F.when(F.col("admit_dt") < F.lit(SPLIT), "train").otherwise("test")
+    return job.encoded.withColumn("side", side)
 
 
 # --- labels --------------------------------------------------------------------
