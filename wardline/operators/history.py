@@ -94,9 +94,11 @@ def patient_features(
     windows: Sequence[int] = (90, 365),
     keep_next_admit: bool = False,
     condition_flags: bool = False,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The feature view: one row per claim whose patient is known.
 
+    ``days`` is the ``admission_days`` table when the caller has it already.
     ``keep_next_admit`` adds ``next_admit_dt`` for the readmission label;
     ``condition_flags`` adds the 0/1 condition columns, joined per patient and day
     along with the other patient attributes instead of by a further join of claims.
@@ -106,8 +108,8 @@ def patient_features(
     patients = beneficiaries.join(profile, "bene_id", "left").select(
         "bene_id", "birth_dt", *PATIENT_COLUMNS, *[F.coalesce(c, F.lit(0)).alias(c) for c in counted]
     )
-    days = admission_days(claims, windows).join(patients, "bene_id")
-    rows = on_admission_day(claims, days)
+    days = admission_days(claims, windows) if days is None else days
+    rows = on_admission_day(claims, days.join(patients, "bene_id"))
 
     death_known = F.col("death_dt") <= F.date_add("discharge_dt", DEATH_WINDOW_DAYS)
     columns = [

@@ -23,9 +23,13 @@ def readmitted(next_admit: Column, discharge: Column, window_days: int = 30) ->
     return F.when((gap > 0) & (gap <= window_days), 1).otherwise(0)
 
 
-def readmission_labels(claims: DataFrame, window_days: int = 30) -> DataFrame:
-    """Add ``readmitted_30d`` to claims (every claim keeps its row)."""
-    days = admission_days(claims, ()).select("bene_id", "admit_dt", "last_claim", "next_day")
+def readmission_labels(claims: DataFrame, window_days: int = 30, days: DataFrame | None = None) -> DataFrame:
+    """Add ``readmitted_30d`` to claims (every claim keeps its row).
+
+    ``days`` is the ``admission_days`` table when the caller has it already.
+    """
+    days = admission_days(claims, ()) if days is None else days
+    days = days.select("bene_id", "admit_dt", "last_claim", "next_day")
     c, d = claims.alias("c"), days.alias("d")
     same = (F.col("c.bene_id") == F.col("d.bene_id")) & F.col("c.admit_dt").eqNullSafe(F.col("d.admit_dt"))
     joined = c.join(d, same, "left").select("c.*", "d.last_claim", "d.next_day")
@@ -34,9 +38,8 @@ def readmission_labels(claims: DataFrame, window_days: int = 30) -> DataFrame:
     return joined.withColumn(TARGET, label).drop("last_claim", "next_day")
 
 
-def readmission_rate(claims: DataFrame, window_days: int = 30) -> DataFrame:
-    labelled = readmission_labels(claims, window_days)
-    return labelled.agg(F.avg(TARGET).alias("readmission_rate"))
+def readmission_rate(claims: DataFrame, window_days: int = 30, days: DataFrame | None = None) -> DataFrame:
+    return readmission_labels(claims, window_days, days).agg(F.avg(TARGET).alias("readmission_rate"))
 
 
 def los_target(los: Column) -> Column:

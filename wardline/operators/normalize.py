@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from wardline.operators.store import ensure_columns
 from wardline.sources.columns import (
     BENEFICIARY_COLUMNS,
     CLAIM_COLUMNS,
@@ -32,6 +34,12 @@ def normalize_claims(typed: DataFrame) -> DataFrame:
     return _rename_available(typed, CLAIM_COLUMNS)
 
 
+def with_all_columns(df: DataFrame, spec: dict) -> DataFrame:
+    """A normalized table with every warehouse column of ``spec``, absent ones as nulls."""
+    wanted = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in spec.values()))
+    return ensure_columns(df, wanted).select(*[name for name, _ in spec.values()])
+
+
 def long_conditions(wide: DataFrame, key: str = "DESYNPUF_ID") -> DataFrame:
     """One row per patient and flagged condition: ``bene_id, condition_code, indicator``."""
     flags = [c for c in CONDITION_CODES if c in wide.columns]

@@ -23,14 +23,14 @@ RANK_HASH_DIGITS = 3  # 16**3 buckets of hash prefixes per stratum
 def _bucket_of(key: str, bounds: Sequence[float]) -> Column:
     """Number of bounds below the key: a balanced tree of comparisons, depth log2(n)."""
 
-    def split(low: int, high: int) -> Column:
+    def split(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high) // 2
-        left, right = split(low, middle), split(middle + 1, high)
-        return F.when(F.col(key) <= F.lit(float(bounds[middle])), left).otherwise(right)
+        test = f"`{key}` <= CAST('{float(bounds[middle])!r}' AS DOUBLE)"
+        return f"CASE WHEN {test} THEN {split(low, middle)} ELSE {split(middle + 1, high)} END"
 
-    return split(0, len(bounds))
+    return F.expr(split(0, len(bounds)))
 
 
 def running_totals(

@@ -64,12 +64,21 @@ class Job(OrderTables):
     def typed_claims(self) -> DataFrame:
         return extracts.type_inpatient(self.raw_claims)
 
+    @cached_property
+    def days(self) -> DataFrame:
+        return history.admission_days(self.admissions)
+
     @cached_property
     def features(self) -> DataFrame:
         return history.patient_features(
-            self.claims, self.beneficiaries, self.conditions, keep_next_admit=True
+            self.claims, self.beneficiaries, self.conditions, keep_next_admit=True, days=self.days
         )
 
+    @cached_property
+    def label_rows(self) -> DataFrame:
+        """Claims with the readmission label only."""
+        return labels.readmission_labels(self.claims, days=self.days)
+
     @cached_property
     def labelled(self) -> DataFrame:
         """Feature view with the readmission label and the discharge flags."""
@@ -103,10 +112,11 @@ class Job(OrderTables):
     @cached_property
     def matrix(self) -> DataFrame:
         """All features and labels before target encoding."""
-        limit = labels.fit_high_cost_threshold(self.claims, SETTINGS.high_cost_percentile)
+        limit = labels.fit_high_cost_threshold(self.payments, SETTINGS.high_cost_percentile)
         view = history.patient_features(
-            self.claims, self.beneficiaries, self.conditions, keep_next_admit=True, condition_flags=True
-        )
+            self.claims, self.beneficiaries, self.conditions, keep_next_admit=True, condition_flags=True,
+            days=self.days,
+        )
         rows = fx.with_high_weight_flag(fx.with_row_features(view))
         return labels.with_labels(rows, limit)
 
@@ -326,7 +336,7 @@ def unpivot_procedures(job: Job) -> DataFrame:
 
 @query
 def age_at_admit(job: Job) -> DataFrame:
-    joined = job.claims.join(job.beneficiaries.select("bene_id", "birth_dt"), "bene_id")
+    joined = job.admissions.join(job.beneficiaries.select("bene_id", "birth_dt"), "bene_id")
     return joined.select("claim_id", history.age_in_years(F.col("birth_dt"), F.col("admit_dt")).alias("age_at_admit"))
 
 
@@ -337,19 +347,17 @@ def elixhauser_count(job: Job) -> DataFrame:
 
 @query
 def prior_admits(job: Job) -> DataFrame:
-    days = history.admission_days(job.claims)
-    return history.on_admission_day(job.claims, days).select("claim_id", "prior_admits_90d", "prior_admits_365d")
+    return history.on_admission_day(job.admissions, job.days).select("claim_id", "prior_admits_90d", "prior_admits_365d")
 
 
 @query
 def days_since_last(job: Job) -> DataFrame:
-    days = history.admission_days(job.claims)
-    return history.on_admission_day(job.claims, days).select("claim_id", "days_since_last_admit")
+    return history.on_admission_day(job.admissions, job.days).select("claim_id", "days_since_last_admit")
 
 
 @query
 def patient_features(job: Job) -> DataFrame:
-    return history.patient_features(job.claims, job.beneficiaries, job.conditions)
+    return history.patient_features(job.claims, job.beneficiaries, job.conditions, days=job.days)
 
 
 @query
@@ -372,13 +380,13 @@ def sex_flag(job: Job) -> DataFrame:
 
 @query
 def admit_calendar(job: Job) -> DataFrame:
-    return fx.with_admit_calendar(job.claims).select("claim_id", "admit_month", "admit_quarter", "admit_dow")
+    return fx.with_admit_calendar(job.admissions).select("claim_id", "admit_month", "admit_quarter", "admit_dow")
 
 
 @query
 def admit_cyclic(job: Job) -> DataFrame:
     names = ["admit_month_sin", "admit_month_cos", "admit_dow_sin", "admit_dow_cos"]
-    return fx.with_admit_calendar(job.claims).select("claim_id", *names)
+    return fx.with_admit_calendar(job.admissions).select("claim_id", *names)
 
 
 @query
@@ -403,7 +411,7 @@ def discharge_risk(job: Job) -> DataFrame:
 
 @query
 def comorbidity_pivot(job: Job) -> DataFrame:
-    flags = history.with_comorbidity_flags(job.claims.select("claim_id", "bene_id"), job.conditions)
+    flags = history.with_comorbidity_flags(job.admissions, job.conditions)
     names = [f"cond_{c}" for c in CONDITION_CODES.values()]
     return flags.select("claim_id", *names, "has_high_weight_comorbidity")
 
@@ -426,12 +434,12 @@ def feature_pipeline(job: Job) -> DataFrame:
 
 @query
 def readmission_label(job: Job) -> DataFrame:
-    return labels.readmission_labels(job.claims).select("claim_id", fx.TARGET)
+    return job.label_rows.select("claim_id", fx.TARGET)
 
 
 @query
 def readmission_rate(job: Job) -> DataFrame:
-    return labels.readmission_rate(job.claims)
+    return labels.readmission_rate(job.claims, days=job.days)
 
 
 @query
@@ -442,19 +450,19 @@ def label_los(job: Job) -> DataFrame:
 
 @query
 def label_high_cost(job: Job) -> DataFrame:
-    limit = labels.fit_high_cost_threshold(job.claims)
+    limit = labels.fit_high_cost_threshold(job.payments)
     label = labels.high_cost_target(F.col("claim_pmt_amt"), limit)
-    return job.claims.select("claim_id", label.alias(fx.HIGH_COST_TARGET), F.lit(limit).alias("threshold"))
+    return job.payments.select("claim_id", label.alias(fx.HIGH_COST_TARGET), F.lit(limit).alias("threshold"))
 
 
 @query
 def temporal_split(job: Job) -> DataFrame:
-    return labels.split_summary(labels.readmission_labels(job.claims), SPLIT)
+    return labels.split_summary(job.label_rows, SPLIT)
 
 
 @query
 def target_encode(job: Job) -> DataFrame:
-    rows = labels.readmission_labels(job.claims)
+    rows = job.label_rows
     train, test = labels.split_by_date(rows, SPLIT)
     encoding = labels.fit_target_encoding(train)
     return encoding.apply(train.unionByName(test), "drg_cd_encoded").select("claim_id", "drg_cd", "drg_cd_encoded")
@@ -462,19 +470,19 @@ def target_encode(job: Job) -> DataFrame:
 
 @query
 def stratified_holdout(job: Job) -> DataFrame:
-    rows = labels.readmission_labels(job.claims)
+    rows = job.label_rows
     return labels.stratified_holdout(rows, seed=SEED).select("claim_id", fx.TARGET, "is_holdout")
 
 
 @query
 def stratified_folds(job: Job) -> DataFrame:
-    rows = labels.readmission_labels(job.claims)
+    rows = job.label_rows
     return labels.stratified_folds(rows, 5, seed=SEED).select("claim_id", fx.TARGET, "fold")
 
 
 @query
 def class_weights(job: Job) -> DataFrame:
-    return labels.class_weights(labels.readmission_labels(job.claims))
+    return labels.class_weights(job.label_rows)
 
 
 # --- evaluation (of the scorecard) ---------------------------------------------
@@ -576,7 +584,7 @@ def global_top(job: Job) -> DataFrame:
 
 @query
 def attribution_sample(job: Job) -> DataFrame:
-    return explain.attribution_sample(job.claims.select("claim_id", "bene_id"), rows=1000, seed=SEED)
+    return explain.attribution_sample(job.admissions.select("claim_id", "bene_id"), rows=1000, seed=SEED)
 
 
 # --- scoring and drift ---------------------------------------------------------
@@ -780,7 +788,7 @@ def readmit_by_age(job: Job) -> DataFrame:
 
 @query
 def dow_heatmap(job: Job) -> DataFrame:
-    return report.weekday_heatmap(job.claims)
+    return report.weekday_heatmap(job.admissions)
 
 
 # --- trained models (no SQL equivalent) ----------------------------------------

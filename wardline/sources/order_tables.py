@@ -11,28 +11,38 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wardline.operators.normalize import long_conditions
 from wardline.sources.columns import CONDITION_CODES, DIAGNOSIS_PREFIX, PROCEDURE_PREFIX
 
-DIAGNOSES, PROCEDURES = 10, 6
+DIAGNOSES = range(1, 11)
+PROCEDURES = range(1, 7)
 
 
-def _sp_flag(i: int) -> Column:
-    v = (F.col("c_custkey") * (2 * i + 3) + i) % 10
-    return F.when(v < 7, 0).when(v < 9, 1).otherwise(2)
+def _flag(i: int, name: str) -> str:
+    v = f"(c_custkey * {2 * i + 3} + {i}) % 10"
+    return f"CASE WHEN {v} < 7 THEN 0 WHEN {v} < 9 THEN 1 ELSE 2 END AS {name}"
 
 
-def _code_text(key: Column) -> Column:
-    """Three-digit code; some are blank, some padded with spaces."""
-    digits = F.lpad((key % 1000).cast("string"), 3, "0")
-    return F.when(key % 17 == 0, "  ").when(key % 13 == 0, F.concat(F.lit(" "), digits, F.lit(" "))).otherwise(digits)
+def _code(key: str) -> str:
+    """Three-digit code text; some are blank, some padded with spaces."""
+    digits = f"lpad(CAST({key} % 1000 AS STRING), 3, '0')"
+    return f"CASE WHEN {key} % 17 = 0 THEN '  ' WHEN {key} % 13 = 0 THEN concat(' ', {digits}, ' ') ELSE {digits} END"
 
 
-def _yyyymmdd(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd")
+def _text_date(key: str, day: str) -> str:
+    """Date as digits, with some impossible, empty and wordy values."""
+    return (
+        f"CASE WHEN {key} % 97 = 0 THEN '99999999' WHEN {key} % 89 = 0 THEN '' "
+        f"WHEN {key} % 83 = 0 THEN 'not_a_date' ELSE date_format({day}, 'yyyyMMdd') END"
+    )
+
+
+_PAID = "CAST(CASE WHEN o_orderkey % 101 = 0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS DECIMAL(12,2))"
+_ADMIT = "CAST(o_orderdate AS DATE)"
+_DIAGNOSIS_NAMES = [f"{DIAGNOSIS_PREFIX}{k}" for k in DIAGNOSES]
+_PROCEDURE_NAMES = [f"{PROCEDURE_PREFIX}{k}" for k in PROCEDURES]
 
 
 @dataclass(frozen=True)
@@ -50,18 +60,16 @@ class OrderTables:
     @cached_property
     def patients(self) -> DataFrame:
         """Beneficiaries with their condition flags still wide."""
-        key = F.col("c_custkey")
-        death = F.date_add(F.lit("1996-01-01").cast("date"), (key * 104729 % 2000).cast("int"))
-        return self.table("customer").select(
-            key.alias("bene_id"),
-            F.date_add(F.lit("1920-01-01").cast("date"), (key * 7919 % 12784).cast("int")).alias("birth_dt"),
-            F.when(key % 12 == 0, death).alias("death_dt"),
-            (1 + key % 2).cast("int").alias("sex_cd"),
-            (1 + key % 6).cast("int").alias("race_cd"),
-            F.when(key % 25 < 7, 12).otherwise(0).alias("hmo_coverage_months"),
-            (F.col("c_nationkey") % 13).cast("int").alias("hi_coverage_months"),
-            F.col("c_acctbal").cast("decimal(12,2)").alias("medreimb_ip"),
-            *[_sp_flag(i).alias(name) for i, name in enumerate(CONDITION_CODES)],
+        return self.table("customer").selectExpr(
+            "c_custkey AS bene_id",
+            "date_add(DATE'1920-01-01', CAST(c_custkey * 7919 % 12784 AS INT)) AS birth_dt",
+            "CASE WHEN c_custkey % 12 = 0 THEN date_add(DATE'1996-01-01', CAST(c_custkey * 104729 % 2000 AS INT)) END AS death_dt",
+            "CAST(1 + c_custkey % 2 AS INT) AS sex_cd",
+            "CAST(1 + c_custkey % 6 AS INT) AS race_cd",
+            "CASE WHEN c_custkey % 25 < 7 THEN 12 ELSE 0 END AS hmo_coverage_months",
+            "CAST(c_nationkey % 13 AS INT) AS hi_coverage_months",
+            "CAST(c_acctbal AS DECIMAL(12,2)) AS medreimb_ip",
+            *[_flag(i, name) for i, name in enumerate(CONDITION_CODES)],
         )
 
     @cached_property
@@ -73,121 +81,90 @@ class OrderTables:
         return long_conditions(self.patients, "bene_id")
 
     @cached_property
-    def _admissions(self) -> DataFrame:
-        """Orders with the facts of their lines."""
-        line, part, supplier = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-        returned = F.col("l_returnflag") == "R"
-        lines = (
-            self.table("lineitem")
-            .groupBy("l_orderkey")
-            .agg(
-                F.count("*").cast("int").alias("n_lines"),
-                F.min(supplier).alias("first_supplier"),
-                F.min(part).alias("first_part"),
-                *[F.min(F.when(line == k, part)).alias(f"d{k}") for k in range(1, DIAGNOSES + 1)],
-                *[F.min(F.when((line == k) & returned, supplier)).alias(f"p{k}") for k in range(1, PROCEDURES + 1)],
-            )
-        )
-        parts = self.table("part").select(F.col("p_partkey").alias("first_part"), F.col("p_size").alias("drg_cd"))
-        orders = self.table("orders")
-        return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").join(parts, "first_part", "left")
+    def admissions(self) -> DataFrame:
+        """Keys and days of all claims, without the facts that need the order lines."""
+        return self.table("orders").selectExpr("o_orderkey AS claim_id", "o_custkey AS bene_id", f"{_ADMIT} AS admit_dt")
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        """Payments of all claims."""
+        return self.table("orders").selectExpr("o_orderkey AS claim_id", f"{_PAID} AS claim_pmt_amt")
 
     @cached_property
-    def _wide_claims(self) -> DataFrame:
+    def wide_claims(self) -> DataFrame:
         """Claims with their code columns still wide."""
-        key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        admit = F.col("o_orderdate").cast("date")
-        paid = F.when(key % 101 == 0, 0).otherwise(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(12,2)")
-        share = F.lit("0.01").cast("decimal(3,2)") * (1 + key % 5).cast("decimal(2,0)")
-        discharge_status = (
-            F.when(key % 53 == 0, F.lit(None).cast("int"))
-            .when(status == "F", 1)
-            .when(status == "O", F.element_at(F.array(F.lit(2), F.lit(3), F.lit(6)), (key % 3 + 1).cast("int")))
-            .otherwise(F.element_at(F.array(F.lit(20), F.lit(30), F.lit(1), F.lit(99)), (key % 4 + 1).cast("int")))
-        )
-        number = F.lpad((F.col("first_supplier") % 30 + 1).cast("string"), 3, "0")
-        return self._admissions.select(
-            key.alias("claim_id"),
-            F.col("o_custkey").alias("bene_id"),
-            admit.alias("admit_dt"),
-            F.date_add(admit, F.col("n_lines")).alias("discharge_dt"),
-            F.concat(F.lit("PROV"), number).alias("provider_id"),
-            "drg_cd",
-            (1 + key % 9).cast("int").alias("admit_source_cd"),
-            F.substring("o_orderpriority", 1, 1).cast("int").alias("admit_type_cd"),
-            discharge_status.alias("discharge_status_cd"),
-            paid.alias("claim_pmt_amt"),
-            (F.col("o_totalprice").cast("decimal(12,2)") * share).cast("decimal(12,2)").alias("pass_thru_amt"),
-            F.col("n_lines").alias("utilization_day_cnt"),
-            F.trim(_code_text(F.col("d1"))).alias("admitting_icd9"),
-            *[_code_text(F.col(f"d{k}")).alias(f"{DIAGNOSIS_PREFIX}{k}") for k in range(1, DIAGNOSES + 1)],
-            *[_code_text(F.col(f"p{k}")).alias(f"{PROCEDURE_PREFIX}{k}") for k in range(1, PROCEDURES + 1)],
+        first_part = [f"min(CASE WHEN l_linenumber = {k} THEN l_partkey END) AS d{k}" for k in DIAGNOSES]
+        returned = [
+            f"min(CASE WHEN l_linenumber = {k} AND l_returnflag = 'R' THEN l_suppkey END) AS p{k}" for k in PROCEDURES
+        ]
+        facts = ["CAST(count(*) AS INT) AS n_lines", "min(l_suppkey) AS supplier", "min(l_partkey) AS part"]
+        sql = f"""
+            SELECT o_orderkey AS claim_id, o_custkey AS bene_id, {_ADMIT} AS admit_dt,
+              date_add({_ADMIT}, n_lines) AS discharge_dt,
+              concat('PROV', lpad(CAST(supplier % 30 + 1 AS STRING), 3, '0')) AS provider_id,
+              p_size AS drg_cd,
+              CAST(1 + o_orderkey % 9 AS INT) AS admit_source_cd,
+              CAST(substring(o_orderpriority, 1, 1) AS INT) AS admit_type_cd,
+              CASE WHEN o_orderkey % 53 = 0 THEN CAST(NULL AS INT) WHEN o_orderstatus = 'F' THEN 1
+                WHEN o_orderstatus = 'O' THEN element_at(array(2, 3, 6), CAST(o_orderkey % 3 + 1 AS INT))
+                ELSE element_at(array(20, 30, 1, 99), CAST(o_orderkey % 4 + 1 AS INT)) END AS discharge_status_cd,
+              {_PAID} AS claim_pmt_amt,
+              CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.01 AS DECIMAL(3,2))
+                * CAST(1 + o_orderkey % 5 AS DECIMAL(2,0)) AS DECIMAL(12,2)) AS pass_thru_amt,
+              n_lines AS utilization_day_cnt,
+              trim({_code("d1")}) AS admitting_icd9,
+              {", ".join(f"{_code(f'd{k}')} AS {DIAGNOSIS_PREFIX}{k}" for k in DIAGNOSES)},
+              {", ".join(f"{_code(f'p{k}')} AS {PROCEDURE_PREFIX}{k}" for k in PROCEDURES)}
+            FROM {{orders}}
+            LEFT JOIN (SELECT l_orderkey, {", ".join(facts + first_part + returned)} FROM {{lines}} GROUP BY l_orderkey)
+              ON o_orderkey = l_orderkey
+            LEFT JOIN (SELECT p_partkey, p_size FROM {{parts}}) ON p_partkey = part
+        """
+        return self.spark.sql(
+            sql, orders=self.table("orders"), lines=self.table("lineitem"), parts=self.table("part")
         )
 
     @cached_property
     def claims(self) -> DataFrame:
-        codes = [c for c in self._wide_claims.columns if c.startswith("ICD9_")]
-        return self._wide_claims.drop(*codes)
+        return self.wide_claims.drop(*_DIAGNOSIS_NAMES, *_PROCEDURE_NAMES)
 
     # --- raw extracts (text) ---
 
     @cached_property
     def raw_beneficiaries(self) -> DataFrame:
-        key = F.col("bene_id")
-        birth = (
-            F.when(key % 97 == 0, "99999999")
-            .when(key % 89 == 0, "")
-            .when(key % 83 == 0, "not_a_date")
-            .otherwise(_yyyymmdd(F.col("birth_dt")))
-        )
-        return self.patients.select(
-            key.cast("string").alias("DESYNPUF_ID"),
-            birth.alias("BENE_BIRTH_DT"),
-            _yyyymmdd(F.col("death_dt")).alias("BENE_DEATH_DT"),
-            F.when(key % 61 == 0, "3").otherwise(F.col("sex_cd").cast("string")).alias("BENE_SEX_IDENT_CD"),
-            F.when(key % 67 == 0, "9").otherwise(F.col("race_cd").cast("string")).alias("BENE_RACE_CD"),
-            F.col("hi_coverage_months").cast("string").alias("BENE_HI_CVRAGE_TOT_MONS"),
-            F.col("hmo_coverage_months").cast("string").alias("BENE_HMO_CVRAGE_TOT_MONS"),
-            F.col("medreimb_ip").cast("string").alias("MEDREIMB_IP"),
+        return self.patients.selectExpr(
+            "CAST(bene_id AS STRING) AS DESYNPUF_ID",
+            f"{_text_date('bene_id', 'birth_dt')} AS BENE_BIRTH_DT",
+            "date_format(death_dt, 'yyyyMMdd') AS BENE_DEATH_DT",
+            "CASE WHEN bene_id % 61 = 0 THEN '3' ELSE CAST(sex_cd AS STRING) END AS BENE_SEX_IDENT_CD",
+            "CASE WHEN bene_id % 67 = 0 THEN '9' ELSE CAST(race_cd AS STRING) END AS BENE_RACE_CD",
+            "CAST(hi_coverage_months AS STRING) AS BENE_HI_CVRAGE_TOT_MONS",
+            "CAST(hmo_coverage_months AS STRING) AS BENE_HMO_CVRAGE_TOT_MONS",
+            "CAST(medreimb_ip AS STRING) AS MEDREIMB_IP",
             *[
-                F.when(key % 71 == i, "5").otherwise(F.col(name).cast("string")).alias(name)
+                f"CASE WHEN bene_id % 71 = {i} THEN '5' ELSE CAST({name} AS STRING) END AS {name}"
                 for i, name in enumerate(CONDITION_CODES)
             ],
         )
 
     @cached_property
     def raw_inpatient(self) -> DataFrame:
-        key = F.col("claim_id")
-        admit = (
-            F.when(key % 97 == 0, "99999999")
-            .when(key % 89 == 0, "")
-            .when(key % 83 == 0, "not_a_date")
-            .otherwise(_yyyymmdd(F.col("admit_dt")))
-        )
-        drg = F.col("drg_cd").cast("string")
-        drg = (
-            F.when(key % 59 == 0, "abc")
-            .when(key % 61 == 0, "1.5")
-            .when(key % 67 == 0, "99999")
-            .when(key % 7 == 0, F.concat(drg, F.lit(".0")))
-            .otherwise(drg)
-        )
-        paid = F.col("claim_pmt_amt").cast("string")
-        paid = F.when(key % 103 == 0, F.concat(F.lit("-"), paid)).when(key % 107 == 0, "n/a").otherwise(paid)
-        return self._wide_claims.select(
-            key.cast("string").alias("CLM_ID"),
-            F.when(key % 499 == 0, "").otherwise(F.col("bene_id").cast("string")).alias("DESYNPUF_ID"),
-            admit.alias("CLM_ADMSN_DT"),
-            _yyyymmdd(F.col("discharge_dt")).alias("NCH_BENE_DSCHRG_DT"),
-            F.col("provider_id").alias("PRVDR_NUM"),
-            drg.alias("CLM_DRG_CD"),
-            F.col("admit_source_cd").cast("string").alias("CLM_ADMSN_SOURCE_CD"),
-            F.col("admit_type_cd").cast("string").alias("CLM_IP_ADMSN_TYPE_CD"),
-            F.col("discharge_status_cd").cast("string").alias("PTNT_DSCHRG_STUS_CD"),
-            paid.alias("CLM_PMT_AMT"),
-            F.col("pass_thru_amt").cast("string").alias("CLM_PASS_THRU_AMT"),
-            F.col("utilization_day_cnt").cast("string").alias("CLM_UTLZTN_DAY_CNT"),
-            F.col("admitting_icd9").alias("ADMTNG_ICD9_DGNS_CD"),
-            *[f"{DIAGNOSIS_PREFIX}{k}" for k in range(1, DIAGNOSES + 1)],
-            *[f"{PROCEDURE_PREFIX}{k}" for k in range(1, PROCEDURES + 1)],
+        return self.wide_claims.selectExpr(
+            "CAST(claim_id AS STRING) AS CLM_ID",
+            "CASE WHEN claim_id % 499 = 0 THEN '' ELSE CAST(bene_id AS STRING) END AS DESYNPUF_ID",
+            f"{_text_date('claim_id', 'admit_dt')} AS CLM_ADMSN_DT",
+            "date_format(discharge_dt, 'yyyyMMdd') AS NCH_BENE_DSCHRG_DT",
+            "provider_id AS PRVDR_NUM",
+            "CASE WHEN claim_id % 59 = 0 THEN 'abc' WHEN claim_id % 61 = 0 THEN '1.5' WHEN claim_id % 67 = 0 THEN '99999' "
+            "WHEN claim_id % 7 = 0 THEN concat(drg_cd, '.0') ELSE CAST(drg_cd AS STRING) END AS CLM_DRG_CD",
+            "CAST(admit_source_cd AS STRING) AS CLM_ADMSN_SOURCE_CD",
+            "CAST(admit_type_cd AS STRING) AS CLM_IP_ADMSN_TYPE_CD",
+            "CAST(discharge_status_cd AS STRING) AS PTNT_DSCHRG_STUS_CD",
+            "CASE WHEN claim_id % 103 = 0 THEN concat('-', claim_pmt_amt) WHEN claim_id % 107 = 0 THEN 'n/a' "
+            "ELSE CAST(claim_pmt_amt AS STRING) END AS CLM_PMT_AMT",
+            "CAST(pass_thru_amt AS STRING) AS CLM_PASS_THRU_AMT",
+            "CAST(utilization_day_cnt AS STRING) AS CLM_UTLZTN_DAY_CNT",
+            "admitting_icd9 AS ADMTNG_ICD9_DGNS_CD",
+            *_DIAGNOSIS_NAMES,
+            *_PROCEDURE_NAMES,
         )
