@@ -7,7 +7,7 @@ running totals in descending score order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,29 +21,34 @@ TARGET_SPECIFICITY = 0.80
 MAPE_OFFSET = 1e-6
 
 
-def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    scored = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return scored.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("tp"), F.count_if(F.col(label) == 0).alias("fp")
+def score_counts(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
+    """Positives and negatives per model and distinct score (``scores``: model -> column)."""
+    pairs = F.array(
+        *[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("score")) for m, c in scores.items()]
+    )
+    long = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.inline(pairs))
+    return (
+        long.where(F.col("score").isNotNull())
+        .groupBy("model", "score")
+        .agg(F.count_if(F.col("label") == 1).alias("tp"), F.count_if(F.col("label") == 0).alias("fp"))
     )
 
 
-def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score: own counts, running counts and the totals ``p`` and ``n``.
+def _curve(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
+    """Per model and distinct score: own counts, running counts, totals ``p`` and ``n``.
 
     The counts are written once: bounds, running totals and totals read that table
-    instead of scoring again.
+    instead of scoring again. The totals have one row per model.
     """
-    counts = materialize(score_counts(df, label, score), "score-counts")
-    totals = counts.agg(F.struct(F.sum("tp").alias("p"), F.sum("fp").alias("n")).alias("totals"))
-    run = running_totals(counts, "score", ["tp", "fp"], ascending=False)
-    return run.withColumn("totals", totals.scalar()).select("*", "totals.p", "totals.n").drop("totals")
+    counts = materialize(score_counts(df, label, scores), "score-counts")
+    totals = counts.groupBy("model").agg(F.sum("tp").alias("p"), F.sum("fp").alias("n"))
+    run = running_totals(counts, "score", ["tp", "fp"], ascending=False, by=["model"])
+    return run.join(F.broadcast(totals), "model")
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """``threshold, fpr, tpr`` at every distinct score, plus the (0, 0) start (null threshold)."""
-    points = _curve(df, label, score).select(
+    points = _curve(df, label, {"": score}).select(
         F.col("score").alias("threshold"),
         F.try_divide("run_fp", "n").alias("fpr"),
         F.try_divide("run_tp", "p").alias("tpr"),
@@ -88,7 +93,7 @@ def _ranking_columns() -> list[Column]:
 
 def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row: positives, negatives, AUROC, average precision, sensitivity at 80% specificity."""
-    return _curve(df, label, score).agg(*_curve_parts()).select("p", "n", *_ranking_columns())
+    return _curve(df, label, {"": score}).agg(*_curve_parts()).select("p", "n", *_ranking_columns())
 
 
 def auroc(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -148,15 +153,20 @@ def calibration_table(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def evaluate(df: DataFrame, label: str, score: str, model: str) -> DataFrame:
-    """One metrics row of a model; metrics rounded to four places.
+    """One metrics row of a model; metrics rounded to four places."""
+    return evaluate_models(df, label, {model: score})
+
 
-    Everything derives from the curve over distinct scores: the cases are shuffled once.
+def evaluate_models(df: DataFrame, label: str, scores: Mapping[str, str]) -> DataFrame:
+    """One metrics row per model (model -> score column), in one pass over the cases.
+
+    Everything derives from the curves over distinct scores.
     """
     cases = F.col("tp") + F.col("fp")
     squared = F.col("tp") * F.pow(1 - F.col("score"), 2) + F.col("fp") * F.pow(F.col("score"), 2)
     per_bin = (
-        _curve(df, label, score)
-        .groupBy(bin_number(F.col("score")).alias("bin"))
+        _curve(df, label, scores)
+        .groupBy("model", bin_number(F.col("score")).alias("bin"))
         .agg(
             F.sum(cases).alias("cases"),
             F.sum(cases * F.col("score")).alias("scores"),
@@ -166,7 +176,7 @@ def evaluate(df: DataFrame, label: str, score: str, model: str) -> DataFrame:
         )
     )
     gap = F.when(F.col("bin").isNotNull(), F.abs(F.col("positives") - F.col("scores"))).otherwise(0.0)
-    merged = per_bin.agg(
+    merged = per_bin.groupBy("model").agg(
         F.sum("cases").alias("cases"),
         F.sum("positives").alias("positives"),
         F.sum("squared").alias("squared"),
@@ -179,7 +189,7 @@ def evaluate(df: DataFrame, label: str, score: str, model: str) -> DataFrame:
     )
     ranked = merged.select("*", *_ranking_columns())
     return ranked.select(
-        F.lit(model).alias("model"),
+        "model",
         F.col("cases").alias("n_samples"),
         F.try_divide("positives", "cases").alias("positive_rate"),
         F.round("auroc", 4).alias("auroc"),

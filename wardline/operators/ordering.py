@@ -39,31 +39,33 @@ def running_totals(
     columns: Sequence[str],
     ascending: bool = True,
     buckets: int = BUCKETS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Inclusive running totals of ``columns`` in the order of numeric, unique ``key``.
+    """Inclusive running totals of ``columns`` in the order of numeric ``key``, per ``by``.
 
-    Adds ``run_<column>``. ``df`` must already have one row per key, so a value shared
-    by very many source rows is a single row here. The bucket bounds only balance the
-    work; the totals are exact whatever they are.
+    Adds ``run_<column>``. ``df`` must already have one row per key (and ``by``), so a
+    value shared by very many source rows is a single row here. The bucket bounds only
+    balance the work; the totals are exact whatever they are.
     """
     steps = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(key, steps, BUCKET_ERROR)))
+    bounds = sorted(set(df.approxQuantile(key, steps, BUCKET_ERROR))) if steps else []
     cut = df.withColumn("_bucket", _bucket_of(key, bounds))
+    group = [*by, "_bucket"]
 
     order = F.col(key).asc() if ascending else F.col(key).desc()
-    inside = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({f"run_{c}": F.sum(c).over(inside) for c in columns})
 
-    # One row per bucket (at most `buckets`): this window is bounded by construction.
+    # One row per bucket (at most `buckets` per `by` group): this window is bounded.
     step = F.col("_bucket").asc() if ascending else F.col("_bucket").desc()
-    before = Window.orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*by).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy("_bucket")
+        cut.groupBy(*group)
         .agg(*[F.sum(c).alias(f"sum_{c}") for c in columns])
-        .select("_bucket", *[F.coalesce(F.sum(f"sum_{c}").over(before), F.lit(0)).alias(f"off_{c}") for c in columns])
+        .select(*group, *[F.coalesce(F.sum(f"sum_{c}").over(before), F.lit(0)).alias(f"off_{c}") for c in columns])
     )
     totals = {f"run_{c}": F.col(f"run_{c}") + F.col(f"off_{c}") for c in columns}
-    return local.join(F.broadcast(offsets), "_bucket").withColumns(totals).drop("_bucket", *[f"off_{c}" for c in columns])
+    return local.join(F.broadcast(offsets), group).withColumns(totals).drop("_bucket", *[f"off_{c}" for c in columns])
 
 
 def quantile_table(df: DataFrame, column: str, fraction: float) -> DataFrame:

@@ -8,6 +8,7 @@ a job lost half-way leaves the previous version current.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -18,6 +19,8 @@ from pyspark.sql.types import StructType
 RISK_SCORE_KEY = "claim_id"
 # Columns an existing risk score takes from a newer run.
 RISK_SCORE_UPDATED = ("readmission_prob", "risk_tier", "model_version", "scored_at")
+KPI_DDL = "snapshot_date date, provider_id string, metric_name string, metric_value double"
+WRITTEN_AT = "written_at"
 KPI_KEY = ("snapshot_date", "provider_id", "metric_name")
 
 
@@ -136,26 +139,21 @@ def append_new(batch: DataFrame, root: str, keys: Sequence[str], order) -> DataF
 
 
 def write_kpis(new: DataFrame, root: str) -> DataFrame:
-    """Upsert KPI rows, rewriting only the snapshot dates the batch touches.
+    """Upsert KPI rows as an append; returns the merged view (``read_kpis``).
 
-    The merged rows are written to the workspace first, so the partitions being
-    replaced are not read while they are replaced.
+    Nothing already written is replaced, so readers and lost jobs never see a partition
+    half rewritten, and writing the same batch again changes nothing.
     """
-    spark = new.sparkSession
-    rows = materialize(new, "kpi-batch")
-    if path_exists(spark, root):
-        old = spark.read.schema(new.schema).parquet(root)
-        dates = rows.select("snapshot_date").distinct()
-        touched = old.join(dates, "snapshot_date", "left_semi")
-        rows = materialize(upsert(touched, rows, KPI_KEY), "kpi-merged")
-    (
-        rows.repartition("snapshot_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(root)
-    )
-    return spark.read.schema(new.schema).parquet(root)
+    stamped = new.withColumn(WRITTEN_AT, F.lit(time.time_ns()))
+    stamped.write.mode("append").partitionBy("snapshot_date").parquet(root)
+    return read_kpis(new.sparkSession, root)
+
+
+def read_kpis(spark: SparkSession, root: str) -> DataFrame:
+    """KPI rows, the newest writing of each key. Filters on the date prune partitions."""
+    schema = StructType.fromDDL(f"{KPI_DDL}, {WRITTEN_AT} bigint")
+    written = spark.read.schema(schema).parquet(root)
+    return written.groupBy(*KPI_KEY).agg(F.max_by("metric_value", WRITTEN_AT).alias("metric_value"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -14,7 +14,6 @@ import random
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -57,7 +56,7 @@ from wardline.operators.labels import (
     stratified_holdout,
     with_class_weight,
 )
-from wardline.operators.metrics import evaluate, regression_metrics
+from wardline.operators.metrics import evaluate, evaluate_models, regression_metrics
 from wardline.operators.ordering import seeded_hash
 from wardline.operators.store import list_names, materialize, path_exists
 
@@ -284,8 +283,8 @@ class TrainingResult:
     path: str
 
 
-def prepare(df: DataFrame, label: str, seed: int, name: str) -> DataFrame:
-    """Assembled matrix with class weights, evenly spread and written to the workspace."""
+def prepare(df: DataFrame, label: str, name: str) -> DataFrame:
+    """Assembled matrix with its keys and targets, written to the workspace."""
     labelled = df.withColumn(label, F.coalesce(F.col(label), F.lit(0)).cast("double"))
     kept = [c for c in ("claim_id", "bene_id", "admit_dt", "provider_id") if c in df.columns]
     targets = [c for c in (TARGET, LOS_TARGET, HIGH_COST_TARGET) if c in df.columns]
@@ -310,11 +309,11 @@ def train_readmission(
     """
     spark, seed = train.sparkSession, settings.random_state
     names = feature_names(train)
-    split = prepare(train, TARGET, seed, "train")
-    split = materialize(stratified_holdout(split, TARGET, "claim_id", 0.2, seed), "holdout")
+    rows = prepare(train, TARGET, "train")
+    split = materialize(stratified_holdout(rows, TARGET, "claim_id", 0.2, seed), "holdout")
     fit_rows = with_class_weight(split.where("is_holdout = 0"), TARGET)
     hold_rows = split.where("is_holdout = 1")
-    test_rows = prepare(test, TARGET, seed, "test")
+    test_rows = prepare(test, TARGET, "test")
 
     tree_params, forest_params = dict(tree_params or {}), dict(forest_params or {})
     if search:
@@ -352,8 +351,7 @@ def train_readmission(
         "ensemble_uncalibrated": BLEND,
         "ensemble_calibrated": PROB,
     }
-    rows = [evaluate(scored, TARGET, column, name) for name, column in steps.items()]
-    metrics = reduce(DataFrame.unionByName, rows)
+    metrics = evaluate_models(scored, TARGET, steps)
 
     leaves = read_leaves(spark, f"{path}/gbt", gbt.treeWeights)
     sample = attribution_sample(scored, rows=1000, seed=seed)
@@ -403,7 +401,7 @@ def predict_los(model, assembled: DataFrame) -> DataFrame:
 
 def train_los(train: DataFrame, test: DataFrame, seed: int = 42, params: Mapping | None = None):
     """(model, one metrics row, scored test rows) of the stay regression."""
-    fit_rows, test_rows = prepare(train, LOS_TARGET, seed, "los-train"), prepare(test, LOS_TARGET, seed, "los-test")
+    fit_rows, test_rows = prepare(train, LOS_TARGET, "los-train"), prepare(test, LOS_TARGET, "los-test")
     model = fit_los(fit_rows, seed, params)
     scored = predict_los(model, test_rows)
     return model, regression_metrics(scored, LOS_TARGET, "los_log_prediction", "los_boosted_trees"), scored
@@ -411,8 +409,8 @@ def train_los(train: DataFrame, test: DataFrame, seed: int = 42, params: Mapping
 
 def train_high_cost(train: DataFrame, test: DataFrame, seed: int = 42, params: Mapping | None = None):
     """(model, one metrics row, scored test rows) of the high-cost classifier."""
-    fit_rows = with_class_weight(prepare(train, HIGH_COST_TARGET, seed, "cost-train"), HIGH_COST_TARGET)
-    test_rows = prepare(test, HIGH_COST_TARGET, seed, "cost-test")
+    fit_rows = with_class_weight(prepare(train, HIGH_COST_TARGET, "cost-train"), HIGH_COST_TARGET)
+    test_rows = prepare(test, HIGH_COST_TARGET, "cost-test")
     model = boosted_trees(HIGH_COST_TARGET, seed, {**HIGH_COST_PARAMS, **(params or {})}).fit(fit_rows)
     scored = model.transform(test_rows).withColumn("high_cost_prob", positive("gbt_probability"))
     scored = materialize(scored.select("claim_id", HIGH_COST_TARGET, "high_cost_prob"), "cost-scores")

@@ -800,8 +800,8 @@ def _model_root(job: Job) -> str:
 
 def _fit_rows(job: Job) -> tuple[DataFrame, DataFrame]:
     train, test = job.stored_sides
-    fit_rows = labels.with_class_weight(training.prepare(train, fx.TARGET, SEED, "train"))
-    return fit_rows, training.prepare(test, fx.TARGET, SEED, "test")
+    fit_rows = labels.with_class_weight(training.prepare(train, fx.TARGET, "train"))
+    return fit_rows, training.prepare(test, fx.TARGET, "test")
 
 
 @query
@@ -841,7 +841,7 @@ def train_ladder(job: Job) -> DataFrame:
 @query
 def score_claims(job: Job) -> DataFrame:
     result, test = _ladder(job)
-    rows = training.prepare(test, fx.TARGET, SEED, "score")
+    rows = training.prepare(test, fx.TARGET, "score")
     scored = training.score_assembled(result.model, rows, result.path)
     return scoring.score_rows(scored, result.version, F.lit(AS_OF))
 

@@ -157,7 +157,7 @@ def score(warehouse: Warehouse, settings: Settings, scored_at: date) -> DataFram
     base = spark.read.json(f"{path}/baseline").first()
     rows = warehouse.current("analytics/model_rows")
     train_rows, test_rows = labels.split_by_date(rows, settings.split_date)
-    assembled = training.prepare(test_rows, fx.TARGET, settings.random_state, "score-rows")
+    assembled = training.prepare(test_rows, fx.TARGET, "score-rows")
     scored = training.score_assembled(model, assembled, path)
     scored = training.predict_los(GBTRegressionModel.load(f"{path}/los"), scored)
     kept = ["claim_id", "bene_id", fx.TARGET, training.VECTOR, "readmission_prob", "top_features", "los_predicted_days"]
@@ -186,7 +186,7 @@ def snapshot_kpis(warehouse: Warehouse, settings: Settings, as_of: date, days: i
     root = warehouse.path("analytics/kpi_snapshots")
     alerts_root = warehouse.path("analytics/pipeline_alerts")
     if store.path_exists(warehouse.spark, root):
-        raise_if_stale(warehouse.spark.read.parquet(root), alerts_root, as_of, settings)
+        raise_if_stale(store.read_kpis(warehouse.spark, root), alerts_root, as_of, settings)
     rows = kpi.kpi_input(
         warehouse.current("analytics/risk_scores"),
         warehouse.read("claims/inpatient_claims"),
@@ -209,7 +209,7 @@ def weekly_report(warehouse: Warehouse, as_of: date) -> dict[str, DataFrame]:
     """The datasets of the weekly report."""
     scores = warehouse.current("analytics/risk_scores")
     features = warehouse.current("analytics/patient_features")
-    kpis = warehouse.read("analytics/kpi_snapshots")
+    kpis = store.read_kpis(warehouse.spark, warehouse.path("analytics/kpi_snapshots"))
     path = training.latest_model_path(warehouse.spark, warehouse.path("models"))
     columns = report.report_header(F.lit(as_of), F.lit(as_of), path.rsplit("/v", 1)[-1])
     return {
