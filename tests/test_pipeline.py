@@ -40,6 +40,8 @@ def test_pipeline_end_to_end(spark, warehouse, tmp_path):
     )
     best = {r.model: r.auroc for r in result.metrics.collect()}
     assert best["ensemble_uncalibrated"] > 0.6
+    card = spark.read.json(f"{result.path}/model_card").first()
+    assert card.version == "1" and len(card.results) == 5
     first = pipeline.score(warehouse, SETTINGS, TODAY)
     assert first.count() == test.count()
     pipeline.score(warehouse, SETTINGS, TODAY + timedelta(days=1))

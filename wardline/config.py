@@ -39,6 +39,7 @@ class Settings:
     random_state: int = 42
     n_cv_folds: int = 5
     n_trials: int = 50
+    search_timeout_seconds: float = 3600
     ensemble_weights: tuple = (0.5, 0.5)
     encoder_smoothing: float = 10.0
     encoder_min_samples: int = 20
@@ -72,6 +73,7 @@ _YAML_KEYS = {
     "random_state": ("model", "random_state"),
     "n_cv_folds": ("model", "n_cv_folds"),
     "n_trials": ("model", "n_optuna_trials"),
+    "search_timeout_seconds": ("model", "optuna_timeout_seconds"),
     "drift_mean_prob": ("scoring", "drift_mean_prob_threshold"),
     "drift_high_risk_pct": ("scoring", "drift_high_risk_pct_threshold"),
     "drift_null_rate_spike": ("scoring", "drift_null_rate_spike"),

@@ -24,7 +24,8 @@ DEATH_WINDOW_DAYS = 30
 
 def age_in_years(birth: Column, day: Column) -> Column:
     """Completed years between two dates (calendar rule, correct for 29 February)."""
-    before_birthday = F.date_format(day, "MMdd") < F.date_format(birth, "MMdd")
+    day_of_year = F.month(day) * 100 + F.dayofmonth(day)
+    before_birthday = day_of_year < F.month(birth) * 100 + F.dayofmonth(birth)
     return F.year(day) - F.year(birth) - before_birthday.cast("int")
 
 
@@ -55,13 +56,13 @@ def admission_days(claims: DataFrame, windows: Sequence[int] = (90, 365)) -> Dat
     days = claims.groupBy("bene_id", "admit_dt").agg(
         F.count("*").alias("day_admits"), F.max("claim_id").alias("last_claim")
     )
-    by_day = Window.partitionBy("bene_id").orderBy(F.col("admit_dt").asc_nulls_last())
-    day_number = F.unix_date("admit_dt")
-    by_number = Window.partitionBy("bene_id").orderBy(day_number.asc_nulls_last())
+    # Day numbers serve both the range frames and lag/lead, so one sort is enough.
+    by_day = Window.partitionBy("bene_id").orderBy(F.col("day_number").asc_nulls_last())
     known = F.col("admit_dt").isNotNull()
+    days = days.withColumn("day_number", F.unix_date("admit_dt"))
 
     def prior(width: int) -> Column:
-        total = F.sum("day_admits").over(by_number.rangeBetween(-width, -1))
+        total = F.sum("day_admits").over(by_day.rangeBetween(-width, -1))
         return F.when(known, F.coalesce(total, F.lit(0))).otherwise(0).cast("int")
 
     return days.select(

@@ -13,7 +13,8 @@ import json
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -61,7 +62,7 @@ from wardline.operators.ordering import seeded_hash
 from wardline.operators.store import list_names, materialize, path_exists
 
 VECTOR, BLEND, PROB = "features", "blend", "readmission_prob"
-LOGISTIC_C, LOGISTIC_ITERATIONS = 1.0, 500
+LOGISTIC_C, LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 1.0, 500, 1e-4
 # Calibration groups equal scores first; this resolution bounds the groups at 1,000,001.
 CALIBRATION_DIGITS = 6
 TREE_DEFAULTS = {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8}
@@ -96,6 +97,7 @@ def fit_logistic(train: DataFrame, label: str = TARGET) -> PipelineModel:
         rawPredictionCol="logistic_raw",
         predictionCol="logistic_class",
         maxIter=LOGISTIC_ITERATIONS,
+        tol=LOGISTIC_TOLERANCE,
         regParam=1.0 / (LOGISTIC_C * max(rows, 1)),
         elasticNetParam=0.0,
         standardization=False,
@@ -292,6 +294,47 @@ def prepare(df: DataFrame, label: str, name: str) -> DataFrame:
     return materialize(matrix, name)
 
 
+def holdout_split(train: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(fit rows with class weights, calibration rows): a stratified 80/20 split, written."""
+    rows = prepare(train, TARGET, "train")
+    split = materialize(stratified_holdout(rows, TARGET, "claim_id", 0.2, seed), "holdout")
+    return with_class_weight(split.where("is_holdout = 0"), TARGET), split.where("is_holdout = 1")
+
+
+def search_params(fit_rows: DataFrame, settings: Settings) -> tuple[dict, dict]:
+    """Random search of the tree and of the forest parameters."""
+    seed = settings.random_state
+    found = []
+    for build, draw in ((boosted_trees, draw_tree_params), (random_forest, draw_forest_params)):
+        best, _ = random_search(
+            lambda p, build=build: build(seed=seed, params=p),
+            fit_rows,
+            draw(settings, settings.n_trials, seed),
+            settings.n_cv_folds,
+            seed,
+            timeout_seconds=settings.search_timeout_seconds,
+        )
+        found.append(best)
+    return found[0], found[1]
+
+
+def fit_ensemble(
+    fit_rows: DataFrame,
+    hold_rows: DataFrame,
+    names: Sequence[str],
+    settings: Settings = Settings(),
+    tree_params: Mapping | None = None,
+    forest_params: Mapping | None = None,
+) -> ReadmissionModel:
+    """Both voters on the fit rows and the calibrator on the held-out rows."""
+    seed = settings.random_state
+    gbt = boosted_trees(seed=seed, params=tree_params).fit(fit_rows)
+    forest = random_forest(seed=seed, params=forest_params).fit(fit_rows)
+    draft = ReadmissionModel(gbt, forest, None, settings.ensemble_weights, tuple(names))
+    calibrator = fit_isotonic(draft.blend(hold_rows).select(TARGET, BLEND), TARGET, BLEND)
+    return replace(draft, calibrator=calibrator)
+
+
 def train_readmission(
     train: DataFrame,
     test: DataFrame,
@@ -307,37 +350,14 @@ def train_readmission(
     With ``search`` the tree and forest parameters come from random search. Metrics are
     one row per model; the baseline holds what the drift check compares with.
     """
-    spark, seed = train.sparkSession, settings.random_state
     names = feature_names(train)
-    rows = prepare(train, TARGET, "train")
-    split = materialize(stratified_holdout(rows, TARGET, "claim_id", 0.2, seed), "holdout")
-    fit_rows = with_class_weight(split.where("is_holdout = 0"), TARGET)
-    hold_rows = split.where("is_holdout = 1")
+    fit_rows, hold_rows = holdout_split(train, settings.random_state)
     test_rows = prepare(test, TARGET, "test")
-
-    tree_params, forest_params = dict(tree_params or {}), dict(forest_params or {})
     if search:
-        tree_params, _ = random_search(
-            lambda p: boosted_trees(seed=seed, params=p),
-            fit_rows,
-            draw_tree_params(settings, settings.n_trials, seed),
-            settings.n_cv_folds,
-            seed,
-        )
-        forest_params, _ = random_search(
-            lambda p: random_forest(seed=seed, params=p),
-            fit_rows,
-            draw_forest_params(settings, settings.n_trials, seed),
-            settings.n_cv_folds,
-            seed,
-        )
+        tree_params, forest_params = search_params(fit_rows, settings)
 
     logistic = fit_logistic(fit_rows)
-    gbt = boosted_trees(seed=seed, params=tree_params).fit(fit_rows)
-    forest = random_forest(seed=seed, params=forest_params).fit(fit_rows)
-    draft = ReadmissionModel(gbt, forest, None, settings.ensemble_weights, tuple(names))
-    calibrator = fit_isotonic(draft.blend(hold_rows).select(TARGET, BLEND), TARGET, BLEND)
-    model = ReadmissionModel(gbt, forest, calibrator, settings.ensemble_weights, tuple(names))
+    model = fit_ensemble(fit_rows, hold_rows, names, settings, tree_params, forest_params)
     path = f"{root}/v{version}"
     model.save(path)
 
@@ -352,15 +372,30 @@ def train_readmission(
         "ensemble_calibrated": PROB,
     }
     metrics = evaluate_models(scored, TARGET, steps)
-
-    leaves = read_leaves(spark, f"{path}/gbt", gbt.treeWeights)
-    sample = attribution_sample(scored, rows=1000, seed=seed)
-    parts = sample.withColumn("parts", tree_attributions(leaves, names))
-    columns = {n: F.col("parts")[i]["value"] for i, n in enumerate(names)}
-    top = [r.feature for r in global_ranking(parts, columns).collect()]
+    top = [r.feature for r in tree_ranking(scored, model, path, settings.random_state).collect()]
     base = score_baseline(scored, settings.tier_high).first().asDict()
-    baseline = {"version": version, **base, "top_features": top}
-    return TrainingResult(model, metrics, baseline, version, path)
+    return TrainingResult(model, metrics, {"version": version, **base, "top_features": top}, version, path)
+
+
+def tree_ranking(assembled: DataFrame, model: ReadmissionModel, model_path: str, seed: int = 42) -> DataFrame:
+    """Top features of the boosted trees by mean absolute attribution over a sample."""
+    leaves = read_leaves(assembled.sparkSession, f"{model_path}/gbt", model.gbt.treeWeights)
+    parts = attribution_sample(assembled, seed=seed).withColumn("parts", tree_attributions(leaves, model.names))
+    return global_ranking(parts, {n: F.col("parts")[i]["value"] for i, n in enumerate(model.names)})
+
+
+def model_card(metrics: DataFrame, version: str, split_date: date) -> DataFrame:
+    """One row that records a model version: what it predicts and how it did."""
+    results = F.sort_array(F.collect_list(F.struct(*metrics.columns))).alias("results")
+    return metrics.agg(results).select(
+        F.lit(version).alias("version"),
+        F.lit("30-day all-cause hospital readmission (binary classification)").alias("task"),
+        F.lit("next admission of the same patient 1 to 30 days after discharge").alias("label_definition"),
+        F.lit(f"train: admitted before {split_date}, test: admitted from then on").alias("split"),
+        F.lit("class weights").alias("class_imbalance_handling"),
+        F.lit("isotonic regression on a stratified 20% hold-out").alias("calibration"),
+        "results",
+    )
 
 
 def score_assembled(model: ReadmissionModel, assembled: DataFrame, model_path: str) -> DataFrame:

@@ -825,25 +825,23 @@ def model_rf_b(job: Job) -> DataFrame:
     return scored.select("claim_id", fx.TARGET, training.positive("forest_probability").alias("prob"))
 
 
-def _ladder(job: Job) -> tuple[training.TrainingResult, DataFrame]:
-    train, test = job.stored_sides
-    result = training.train_readmission(
-        train, test, _model_root(job), "1", SETTINGS, tree_params=TREES, forest_params=FOREST
-    )
-    return result, test
-
-
 @query
 def train_ladder(job: Job) -> DataFrame:
-    return _ladder(job)[0].metrics
+    result = training.train_readmission(
+        *job.stored_sides, _model_root(job), "1", SETTINGS, tree_params=TREES, forest_params=FOREST
+    )
+    return result.metrics
 
 
 @query
 def score_claims(job: Job) -> DataFrame:
-    result, test = _ladder(job)
-    rows = training.prepare(test, fx.TARGET, "score")
-    scored = training.score_assembled(result.model, rows, result.path)
-    return scoring.score_rows(scored, result.version, F.lit(AS_OF))
+    train, test = job.stored_sides
+    fit_rows, hold_rows = training.holdout_split(train, SEED)
+    model = training.fit_ensemble(fit_rows, hold_rows, training.feature_names(train), SETTINGS, TREES, FOREST)
+    path = f"{_model_root(job)}/v1"
+    model.save(path)
+    scored = training.score_assembled(model, training.prepare(test, fx.TARGET, "score"), path)
+    return scoring.score_rows(scored, "1", F.lit(AS_OF))
 
 
 @query

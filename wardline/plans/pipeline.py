@@ -140,7 +140,7 @@ def train(
     result = training.train_readmission(
         train_rows, test_rows, root, version, settings, tree_params, forest_params, search
     )
-    store.write_json(result.metrics, f"{base}/metrics")
+    store.write_json(training.model_card(result.metrics, version, settings.split_date), f"{base}/model_card")
     baseline = warehouse.spark.createDataFrame(
         [(version, result.baseline["mean_prob"], result.baseline["pct_high_risk"], result.baseline["top_features"])],
         "version string, mean_prob double, pct_high_risk double, top_features array<string>",
