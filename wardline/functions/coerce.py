@@ -16,9 +16,10 @@ NA_TOKENS = (
     "nan", "null",
 )
 
-# A finite decimal number; keeps out JVM-only spellings such as "1d" or "0x1p3".
-NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-DATE_PATTERN = r"^[0-9]{8}$"
+# Characters of a decimal number; keeps out "NaN" and JVM-only spellings such as "1d".
+NUMBER_CHARACTERS = "0123456789+-.eE \t"
+DIGITS = "0123456789"
+DATE_LENGTH = 8
 
 
 def missing_to_null(text: Column) -> Column:
@@ -27,19 +28,25 @@ def missing_to_null(text: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     """``yyyyMMdd`` text to DATE; anything else is null."""
-    return F.when(text.rlike(DATE_PATTERN), F.try_to_date(text, "yyyyMMdd"))
+    digits_only = (F.length(text) == DATE_LENGTH) & (F.translate(text, DIGITS, "") == "")
+    return F.when(digits_only, F.try_to_date(text, "yyyyMMdd"))
 
 
 def to_float(text: Column) -> Column:
-    return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
+    """Finite decimal text to double; the cast itself checks the grammar."""
+    return F.when(F.translate(text, NUMBER_CHARACTERS, "") == "", text.try_cast("double"))
 
 
-def to_small_int(text: Column) -> Column:
-    """Whole numbers in the 16-bit range; ``"1.0"`` is accepted, ``"1.5"`` is null."""
-    number = to_float(text)
+def whole_small_int(number: Column) -> Column:
+    """Whole numbers in the 16-bit range; null otherwise."""
     return F.when(number == F.floor(number), number.try_cast("smallint")).cast("int")
 
 
+def to_small_int(text: Column) -> Column:
+    """Text to a 16-bit whole number; ``"1.0"`` is accepted, ``"1.5"`` is null."""
+    return whole_small_int(to_float(text))
+
+
 def _apply(df: DataFrame, cols, convert) -> DataFrame:
     present = [c for c in cols if c in df.columns]
     return df.withColumns({c: convert(F.col(c)) for c in present}) if present else df
@@ -54,7 +61,8 @@ def parse_dates(df: DataFrame, cols) -> DataFrame:
 
 
 def coerce_ints(df: DataFrame, cols) -> DataFrame:
-    return _apply(df, cols, to_small_int)
+    """In two projections, so that each text is converted once and then checked."""
+    return _apply(_apply(df, cols, to_float), cols, whole_small_int)
 
 
 def coerce_floats(df: DataFrame, cols) -> DataFrame:

@@ -114,27 +114,28 @@ def stratified_rank(df: DataFrame, stratum: str, key: str, seed: int) -> DataFra
     """Add ``stratum_rank`` (1-based, in hash order) and ``stratum_size``.
 
     Ranks run inside (stratum, hash prefix) groups, which are even because keys are
-    unique; a stratum with most of the rows is spread over 4096 groups.
+    unique; a stratum with most of the rows is spread over 4096 groups. The group
+    offsets join on the same two columns, so the rows are shuffled once.
     """
-    hashed = df.withColumn("_hash", seeded_hash(key, seed))
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, RANK_HASH_DIGITS))
-    # At most 4096 rows per stratum: bounded, so broadcast and windowed as is.
-    before = Window.partitionBy(stratum).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    hashed = df.withColumns(
+        {"_hash": seeded_hash(key, seed), "_stratum": F.coalesce(F.col(stratum).cast("string"), F.lit(""))}
+    ).withColumn("_prefix", F.substring("_hash", 1, RANK_HASH_DIGITS))
+    # At most 4096 rows per stratum, so this window is bounded.
+    before = Window.partitionBy("_stratum").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        hashed.groupBy(stratum, "_prefix")
+        hashed.groupBy("_stratum", "_prefix")
         .agg(F.count("*").alias("_n"))
         .select(
-            F.col(stratum).alias("_stratum"),
-            F.col("_prefix").alias("_group"),
+            "_stratum",
+            "_prefix",
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-            F.sum("_n").over(Window.partitionBy(stratum)).alias("stratum_size"),
+            F.sum("_n").over(Window.partitionBy("_stratum")).alias("stratum_size"),
         )
     )
-    inside = Window.partitionBy(stratum, "_prefix").orderBy("_hash", key)
+    inside = Window.partitionBy("_stratum", "_prefix").orderBy("_hash", key)
     ranked = hashed.withColumn("_local", F.row_number().over(inside))
-    same = ranked[stratum].eqNullSafe(sizes["_stratum"]) & (ranked["_prefix"] == sizes["_group"])
     return (
-        ranked.join(sizes, same)
+        ranked.join(sizes, ["_stratum", "_prefix"])
         .withColumn("stratum_rank", F.col("_offset") + F.col("_local"))
-        .drop("_hash", "_prefix", "_local", "_offset", "_stratum", "_group")
+        .drop("_hash", "_prefix", "_local", "_offset", "_stratum")
     )

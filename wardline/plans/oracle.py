@@ -7,9 +7,10 @@ the order tables.
 
 from __future__ import annotations
 
-from wardline.functions.coerce import NA_TOKENS, NUMBER_PATTERN
+from wardline.functions.coerce import NA_TOKENS
 from wardline.sources.columns import CONDITION_CODES, HIGH_WEIGHT_CONDITIONS
 
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _FLAGS = list(CONDITION_CODES)
 _NA = ", ".join(f"'{t}'" for t in NA_TOKENS)
 _COND_COLS = [f"cond_{c}" for c in CONDITION_CODES.values()]
@@ -52,7 +53,7 @@ def _date(column: str) -> str:
 
 
 def _float(column: str) -> str:
-    return f"CASE WHEN regexp_matches({column}, '{NUMBER_PATTERN}') THEN TRY_CAST(trim({column}) AS DOUBLE) END"
+    return f"CASE WHEN regexp_matches({column}, '{_NUMBER}') THEN TRY_CAST(trim({column}) AS DOUBLE) END"
 
 
 def _int(column: str) -> str:
