@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import sentencepiece_codec
-from wardline.llm.common import table
+from wardline.llm import language_id, sentencepiece_codec, token_counts, token_store
+from wardline.llm.common import held_out, table
+from wardline.operators.store import workspace
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -23,8 +25,34 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = held_out("doc_id", 4, 2)
+    languages, matrix = language_id.fit(docs, ~out)
+    found = language_id.predict(docs.select("doc_id", "text"), languages, matrix)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every document's ids to a store and read them back through its index."""
+    address = f"{workspace(spark)}/wardline/tokens-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    token_store.write_store(docs, public_tokenizers.path(WORD_TOKENIZER), address)
+    return token_store.read_store(spark, address)
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text with the SentencePiece model."""
     docs = table(spark, sf_dir, "documents")
     return sentencepiece_codec.encode_documents(docs, public_tokenizers.path(PIECE_MODEL))
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text under the SentencePiece model."""
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, public_tokenizers.path(PIECE_MODEL))
