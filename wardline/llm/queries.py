@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import language_id, sentencepiece_codec, token_counts, token_store
+from wardline.llm import language_id, line_quality, sentencepiece_codec, token_counts, token_store
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
@@ -44,6 +44,63 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, address)
 
 
+@query
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word statistics, and lines that too many documents of a source share."""
+    return line_quality.judge(table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL["op3_line_quality"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+         {_WORDS.format("coalesce(text, '')")} AS w
+  FROM documents
+), line AS (
+  SELECT doc_id, host, t, pos, raw, {_WORDS.format(f"translate(raw, '{_UPPER}', '{_LOWER}')")} AS lw
+  FROM (SELECT doc_id, host, t, generate_subscripts(string_split(t, chr(10)), 1) AS pos,
+               unnest(string_split(t, chr(10))) AS raw FROM d)
+), real_line AS (
+  SELECT doc_id, host, t, pos, raw, array_to_string(lw, ' ') AS norm, len(lw) AS n FROM line WHERE len(lw) > 0
+), dup AS (
+  SELECT doc_id, count(*) AS n FROM (
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id, raw ORDER BY pos) AS k FROM real_line)
+  WHERE k > 1 GROUP BY 1
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+), rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1)
+  GROUP BY 1
+), texts AS (
+  SELECT host, t, min(doc_id) AS doc_id FROM d GROUP BY 1, 2
+), most AS (
+  SELECT host, greatest({line_quality.MIN_TEXTS}, count(*) * {line_quality.MAX_SHARE}) AS m FROM texts GROUP BY 1
+), freq AS (
+  SELECT r.host, norm, min(r.doc_id) AS first_id
+  FROM real_line r JOIN texts USING (host, doc_id) JOIN most USING (host)
+  GROUP BY r.host, norm, m HAVING count(DISTINCT r.doc_id) > m
+), gone AS (
+  SELECT r.doc_id, sum(n) AS n FROM real_line r JOIN freq f ON r.host = f.host AND r.norm = f.norm
+  WHERE r.doc_id <> first_id GROUP BY 1
+), s AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, len(w) - coalesce(gone.n, 0) AS n_left
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, n_left::BIGINT AS n_left_words,
+  n_words < {line_quality.MIN_WORDS} OR 100 * n_repeat_words > {line_quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT base_failed AND n_left >= {line_quality.MIN_LEFT_WORDS} AND n_left >= {line_quality.MIN_LEFT_SHARE} * n_words AS kept
+FROM s
+"""
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text with the SentencePiece model."""
