@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import language_id, line_quality, sentencepiece_codec, token_counts, token_store
+from wardline.llm import language_id, line_quality, sentencepiece_codec, source_mixing, token_counts, token_store
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
@@ -113,3 +113,46 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under the SentencePiece model."""
     docs = table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, public_tokenizers.path(PIECE_MODEL))
+
+
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated sampling probability and draw of every document."""
+    return source_mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+def _mixing_sql() -> str:
+    topics = " ".join(f"WHEN regexp_matches(t, '(?i){p}') THEN '{n}'" for n, p in source_mixing.TOPICS)
+    parts = [f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+    CASE {topics} ELSE '{source_mixing.OTHER}' END AS topic, len({_WORDS.format("t")})::BIGINT AS n_tokens
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents)
+), total AS (SELECT sum(n_tokens)::DOUBLE AS total FROM d
+), c0 AS (
+  SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens) / (SELECT total FROM total) AS w
+  FROM d GROUP BY 1, 2, 3
+)"""]
+    for m in source_mixing.MARGINS:
+        power = source_mixing.POWERS[m]
+        parts.append(f""", p_{m} AS (SELECT {m}, sum(tokens) ** {power} AS p FROM c0 GROUP BY 1)
+, t_{m} AS (SELECT {m}, p / (SELECT sum(p) FROM p_{m}) AS target FROM p_{m})""")
+    step = 0
+    for _ in range(source_mixing.ROUNDS):
+        for m in source_mixing.MARGINS:
+            parts.append(f""", c{step + 1} AS MATERIALIZED (
+  SELECT c.source, c.lang, c.topic, c.tokens, c.w * CASE WHEN s.held > 0 THEN t.target / s.held ELSE 1 END AS w
+  FROM c{step} c JOIN (SELECT {m}, sum(w) AS held FROM c{step} GROUP BY 1) s USING ({m}) JOIN t_{m} t USING ({m}))""")
+            step += 1
+    parts.append(f""", f AS (
+  SELECT source, lang, topic, CASE WHEN tokens > 0 THEN w * (SELECT total FROM total) / tokens END AS raw FROM c{step}
+), p AS (
+  SELECT source, lang, topic, coalesce(raw, 1) AS factor,
+    least(coalesce(raw, 1) / (SELECT max(raw) FROM f), 1) AS probability FROM f)
+SELECT doc_id, source, lang, topic, n_tokens, round(factor, 6) AS factor, round(probability, 6) AS probability,
+  ('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT / {1 << 52}.0::DOUBLE < probability AS kept
+FROM d JOIN p USING (source, lang, topic)""")
+    return "".join(parts)
+
+
+ORACLE_SQL["op8_source_mixing"] = _mixing_sql()
