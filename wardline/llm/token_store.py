@@ -27,18 +27,20 @@ import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from wardline.llm.common import Shipped, array, slices, split_words, spread, text_array
 from wardline.llm.perfect_hash import PerfectHash, fingerprints
 
 MANIFEST = "shard int, name string, n_docs bigint, n_tokens bigint, width int, first_doc_id bigint, last_doc_id bigint"
-TABLE_WORDS = 500_000
+TABLE_WORDS = 350_000
+_JOINED = 50
 SHARD_BYTES = 16 << 20
 # Letters of Latin-1. Composed, each its own lower-case pair: the tokenizer's normaliser
 # and pre-tokenizer leave a lower-cased word of these whole.
 LETTERS = frozenset(chr(c) for c in range(256) if chr(c).isalpha() and chr(c) not in "ªµº")
-_STOPS = (",", ".")
+# Characters that close a word and go into tokens of their own; the apostrophe may not.
+CLOSING = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
 def byte_letters() -> list[str]:
@@ -64,27 +66,47 @@ class WordTable:
         letters = byte_letters()
         self.by_byte = {b: letters[b] for b in range(256)}
         self.clear()
-        sample = ["Été", "the", "naïve,", "Ørsted.", "STRAßE"]
-        encoded = [e.ids for e in self.tokenizer.encode_batch(sample, add_special_tokens=False)]
-        self.by_model = [self._ids(w) for w in sample] == encoded
+        self.closings: dict[str, list[int]] = {"": []}
+        self.words: dict[str, list[int]] = {}
+        self.plain = Tokenizer(self.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        # The short way must give what the library gives, else everything goes the long way.
+        sample = ["Été", "the", "naïve,", "Ørsted...", "STRAßE*#"]
+        self.by_model = True
+        self.learn(sample)
+        encoded = self.tokenizer.encode_batch(sample, add_special_tokens=False)
+        self.by_model = self.flat.tolist() == [i for e in encoded for i in e.ids]
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        self.stops = {s: self.tokenizer.encode(s, add_special_tokens=False).ids for s in _STOPS}
 
-    def _ids(self, chunk: str) -> list[int] | None:
-        """Ids by the model alone; None where the chunk needs the whole tokenizer."""
-        stop = self.stops.get(chunk[-1:], [])
-        core = chunk[:-1] if stop else chunk
-        if not core or not LETTERS.issuperset(core):
-            return None
-        if core.isascii():
-            word = core.lower()
-        else:
-            word = core.lower().encode().decode("latin-1").translate(self.by_byte)
-        return [t.id for t in self.model.tokenize(word)] + stop
+    def _closing(self, closing: str) -> list[int]:
+        if closing not in self.closings:
+            if len(self.closings) > 10_000:
+                self.closings = {"": []}
+            self.closings[closing] = self.tokenizer.encode(closing, add_special_tokens=False).ids
+        return self.closings[closing]
+
+    def _core(self, chunk: str) -> str | None:
+        """The word of a chunk that the model can take alone in lower case, else None."""
+        core = chunk.rstrip(CLOSING)
+        return core if core and LETTERS.issuperset(core) else None
+
+    def _by_model(self, found: set[str]) -> None:
+        """Put the ids of these words into ``words``, many words in one call."""
+        if len(self.words) > self.limit:
+            self.words = {}
+        new = [w for w in found if w not in self.words]
+        spelled = [w if w.isascii() else w.encode().decode("latin-1").translate(self.by_byte) for w in new]
+        joined = [" ".join(spelled[i : i + _JOINED]) for i in range(0, len(spelled), _JOINED)]
+        ids = list(chain.from_iterable(e.ids for e in self.plain.encode_batch_fast(joined, add_special_tokens=False)))
+        ends = [0, *(np.flatnonzero(self.closes[ids]) + 1).tolist()] if ids else [0]
+        self.words.update((w, ids[a:b]) for w, a, b in zip(new, ends[:-1], ends[1:], strict=True))
 
     def learn(self, chunks: list[str]) -> np.ndarray:
         if len(self.rows) > self.limit:
@@ -92,11 +114,18 @@ class WordTable:
         rows = self.rows
         new = [c for c in chunks if c not in rows]
         if new:
-            found = [self._ids(c) if self.by_model else None for c in new]
-            hard = [k for k, ids in enumerate(found) if ids is None]
-            batch = self.tokenizer.encode_batch([new[k] for k in hard], add_special_tokens=False)
-            for k, encoding in zip(hard, batch, strict=True):
-                found[k] = encoding.ids
+            cores = [self._core(c) if self.by_model else None for c in new]
+            self._by_model({c.lower() for c in cores if c})
+            hard = [c for c, core in zip(new, cores) if core is None]
+            rest = iter(self.tokenizer.encode_batch(hard, add_special_tokens=False))
+            words, found = self.words, []
+            for chunk, core in zip(new, cores):
+                if core is None:
+                    found.append(next(rest).ids)
+                elif len(core) == len(chunk):
+                    found.append(words[core.lower()])
+                else:
+                    found.append(words[core.lower()] + self._closing(chunk[len(core) :]))
             rows.update(zip(new, range(len(rows), len(rows) + len(new)), strict=True))
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
