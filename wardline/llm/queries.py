@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import html_text, language_id, line_quality, sentencepiece_codec, source_mixing, token_counts, token_store
+from wardline.llm import embedding_join, html_text, language_id, line_quality, sentencepiece_codec, source_mixing, token_counts, token_store
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
@@ -162,3 +162,9 @@ ORACLE_SQL["op8_source_mixing"] = _mixing_sql()
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors within each label."""
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
