@@ -26,6 +26,8 @@ ORDERS = (1, 2, 3)
 MAX_DOCS = 20_000
 MAX_LANGUAGES = 256
 SMOOTHING = 0.5
+# Each byte of text takes tens of bytes of n-gram arrays.
+SLICE_BYTES = 1 << 20
 UNDETERMINED = "und"
 # Texts are cut into windows of this many characters, so that one huge text is not one array.
 WINDOW = 1 << 20
@@ -101,7 +103,7 @@ def fit(docs: DataFrame, labelled: Column, max_docs: int = MAX_DOCS) -> tuple[li
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             langs, texts = batch.column("lang").to_pylist(), strings(batch)
             for language in set(langs):
                 mine = [t for t, l in zip(texts, langs) if l == language]
@@ -158,7 +160,7 @@ def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray) -> DataFr
     model = spark.sparkContext.broadcast(matrix)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             sums, grams = score(strings(batch), model.value)
             known = grams > 0
             if languages:
