@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import embedding_join, html_text, language_id, line_quality, sentencepiece_codec, source_mixing, token_counts, token_store
+from wardline.llm import embedding_join, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_counts, token_store
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
@@ -168,3 +168,9 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors within each label."""
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents by the Jaccard similarity of their shingle sets."""
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
