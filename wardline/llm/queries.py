@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import embedding_join, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_counts, token_store
+from wardline.llm import embedding_join, gated_lm, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_counts, token_store
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
@@ -174,3 +174,9 @@ def op9_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents by the Jaccard similarity of their shingle sets."""
     return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every whole text under a gated recurrent model and a base."""
+    return gated_lm.score_documents(table(spark, sf_dir, "documents"), held_out("doc_id", 5, 1))
