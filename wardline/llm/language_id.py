@@ -177,3 +177,16 @@ def predict(docs: DataFrame, languages: list[str], matrix: np.ndarray) -> DataFr
     out = docs.drop("lang_pred", "score")
     schema = StructType(out.schema.fields + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return out.mapInArrow(run, schema)
+
+
+def keep_known(docs: DataFrame, labelled: Column, least: float = 0.5) -> DataFrame:
+    """Documents whose language is determined with a score of ``least`` or more.
+
+    Fits on the labelled rows first; without any, nothing is determined and no row stays.
+    Columns are unchanged.
+    """
+    languages, matrix = fit(docs, labelled)
+    row = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = predict(row, languages, matrix)
+    kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return kept.select("row.*")

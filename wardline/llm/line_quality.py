@@ -174,11 +174,12 @@ def clean(docs: DataFrame) -> DataFrame:
     def without(texts, removed):
         out = []
         for text, gone in zip(texts, removed):
-            gone = set(gone)
-            kept = [line for line in text.split("\n") if line_hash(line)[0] not in gone]
-            out.append("\n".join(kept))
+            if text is not None and gone is not None:
+                gone = set(gone)
+                text = "\n".join(line for line in text.split("\n") if line_hash(line)[0] not in gone)
+            out.append(text)
         return type(texts)(out, index=texts.index)
 
-    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(without("row.text", "removed"))
+    text = without("row.text", "removed")
     out = joined.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names])
     return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in names else out
