@@ -25,13 +25,16 @@ def documents(count: int = 120, seed: int = 5) -> list[tuple]:
     """Prose, exact and near copies, common lines, and all edge texts."""
     rng = random.Random(seed)
     rows: list[tuple] = []
+    spoken: list[str] = []
     for k in range(count):
         lang = rng.choice(sorted(SYLLABLES))
         text = prose(rng, lang, rng.randint(1, 150))
-        if k % 7 == 3 and rows:
-            text = rows[rng.randrange(len(rows))][1]
-        elif k % 5 == 2 and rows:
-            words = (rows[rng.randrange(len(rows))][1] or "").split(" ")
+        if rows and (k % 7 == 3 or k % 5 == 2):
+            copied = rng.randrange(len(rows))
+            text, lang = rows[copied][1], spoken[copied]
+        spoken.append(lang)
+        if rows and k % 7 != 3 and k % 5 == 2:
+            words = text.split(" ")
             words[rng.randrange(len(words))] = "changed"
             text = " ".join(words)
         rows.append((k, text, lang if k % 9 else None, f"src{k % 3}" if k % 11 else None, len(text)))
