@@ -236,5 +236,6 @@ def _links(heads: DataFrame, least: float) -> DataFrame:
         columns = [np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3)]
         return pa.table([array(c, pa.int64()) for c in columns], ["class_id", "links", "root"])
 
-    groups = spread.groupBy(*keys, "low", "high")
+    # One key of all: the join's partitioning by cell would else serve, with hot tasks.
+    groups = spread.withColumn("pair", F.struct(*keys, "low", "high")).groupBy("pair")
     return groups.applyInArrow(join, "class_id bigint, links bigint, root bigint")
