@@ -120,6 +120,14 @@ def test_row_features(spark):
     assert matrix.discharge_status_cd == -1.0
 
 
+def test_target_encoding_of_any_type_and_number(spark):
+    texts = [("A", 1)] * 30 + [("B", 0)] * 30 + [(str(k), k % 2) for k in range(70_000)]
+    encoding = labels.fit_target_encoding(spark.createDataFrame(texts, "c string, readmitted_30d int"), "c")
+    asked = spark.createDataFrame([("A",), ("B",), ("69999",), ("new",)], "c string")
+    found = {r.c: r.e for r in encoding.apply(asked, "e").collect()}
+    assert found["A"] > found["69999"] > found["new"] > found["B"] and encoding.codes.count() == 70_002
+
+
 def test_target_encoding(spark):
     rows = [(1, 1)] * 30 + [(1, 0)] * 10 + [(2, 1)] * 2 + [(None, 0)] * 8
     train = spark.createDataFrame(rows, "drg_cd int, readmitted_30d int")

@@ -116,3 +116,14 @@ def test_soft_vote(spark):
     weighted = df.select(training.soft_vote(F.col("a"), F.col("b"), (0.3, 0.7))).collect()[1][0]
     assert weighted == pytest.approx(0.3)
     assert [r[0] for r in df.select(training.vote_class(F.col("a") - 0.3)).collect()] == [1, 1]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 137, 999, 1500])
+@pytest.mark.parametrize("ties", [False, True])
+def test_exact_quantile_at_every_size(spark, n, ties):
+    rng = np.random.default_rng(n)
+    values = rng.integers(0, 5, n).astype(float) if ties else rng.uniform(0, 1000, n)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    for q in (0.0, 0.8, 1.0):
+        expected = pytest.approx(float(np.quantile(values, q)), abs=1e-9) if n else None
+        assert ordering.exact_quantile(df, "v", q) == expected

@@ -9,8 +9,8 @@ import pytest
 from __spark_entry__ import queries
 
 DIRECTORY = "/root/testdata/sf0.001"
-# Hinted broadcasts that are allowed: encodings of 16-bit codes, bucket totals, model totals.
-HINTED = {"feature_pipeline": 1, "target_encode": 1, "soft_vote": 1, "roc_curve": 2}
+# Hinted broadcasts that are allowed: bucket totals and model totals.
+HINTED = {"roc_curve": 2}
 NAMES = [
     "dedup_keep_first", "failure_cases", "fk_orphans", "patient_features", "prior_admits", "readmission_label",
     "comorbidity_pivot", "feature_pipeline", "target_encode", "soft_vote", "stratified_holdout", "roc_curve",

@@ -23,6 +23,13 @@ def test_append_is_idempotent(spark, tmp_path):
     assert {tuple(r) for r in spark.read.parquet(root).collect()} == {("a", 1), ("b", 2)}
 
 
+def test_append_after_a_lost_first_write(spark, tmp_path):
+    (tmp_path / "t" / "_temporary" / "0").mkdir(parents=True)
+    batch = spark.createDataFrame([("a", 1)], "k string, v int")
+    store.append_new(batch, str(tmp_path / "t"), ["k"], [F.col("v")])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
 def test_score_upsert_updates_only_some_columns(spark):
     d1, d2 = date(2009, 1, 1), date(2009, 2, 1)
     old = spark.createDataFrame([("1", "p", 0.1, "low", "v1", d1, 0), ("2", "q", 0.2, "medium", "v1", d1, 1)], SCORE)

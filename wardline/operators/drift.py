@@ -124,7 +124,3 @@ def null_spike_alerts(spikes: DataFrame, created_at: Column) -> DataFrame:
         F.col("column_name"), F.col("current_rate"), F.col("baseline_rate"),
     )
     return alerts(spikes.where("breached"), F.lit("null_spike"), text, created_at)
-
-
-def append_alerts(new: DataFrame, root: str) -> None:
-    new.write.mode("append").parquet(root)

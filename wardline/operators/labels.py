@@ -13,9 +13,6 @@ from wardline.operators.history import admission_days, next_admission
 from wardline.operators.ordering import exact_quantile, stratified_rank
 from wardline.operators.store import materialize
 
-# The DRG column is a 16-bit code, so an encoding has at most 65,537 rows.
-MAX_DRG_CODES = 65_537
-
 
 def readmitted(next_admit: Column, discharge: Column, window_days: int = 30) -> Column:
     """1 when the next admission comes 1..window days after discharge, else 0."""
@@ -96,11 +93,11 @@ class TargetEncoding:
     def apply(self, df: DataFrame, output: str) -> DataFrame:
         """Left join of the code table; unseen and missing categories get the prior.
 
-        The broadcast is bounded by the code type (``MAX_DRG_CODES`` rows); the prior
-        is a scalar subquery.
+        The table has one row per category, of any number; Spark's size check chooses
+        between a broadcast and a shuffle. The prior is a scalar subquery.
         """
         codes = self.codes.select(F.col("category").alias(self.column), F.col("encoded").alias("_encoded"))
-        joined = df.join(F.broadcast(codes), self.column, "left")
+        joined = df.join(codes, self.column, "left")
         return joined.withColumn(output, F.coalesce(F.col("_encoded"), self.prior.scalar())).drop("_encoded")
 
 
@@ -113,10 +110,10 @@ def fit_target_encoding(
 ) -> TargetEncoding:
     """Blend each category's mean with the prior: weight 1 / (1 + exp(-(n - k) / s)).
 
-    The formula is Micci-Barreca's (2001). ``column`` must hold 16-bit codes, which
-    bounds the statistics; they are written, so fitting reads the training rows once.
+    The formula is Micci-Barreca's (2001). Categories keep their own type; the statistics
+    are written, so fitting reads the training rows once.
     """
-    grouped = train.groupBy(F.col(column).try_cast("smallint").alias("category")).agg(
+    grouped = train.groupBy(F.col(column).alias("category")).agg(
         F.count(target).alias("n"), F.sum(target).alias("positives")
     )
     stats = materialize(grouped, "target-means")
@@ -125,8 +122,7 @@ def fit_target_encoding(
     mean = F.col("positives") / F.col("n")
     known = stats.where(F.col("category").isNotNull() & (F.col("n") > 0))
     blended = known.withColumn("prior", prior.scalar()).select(
-        F.col("category").cast("int").alias("category"),
-        (weight * mean + (F.lit(1.0) - weight) * F.col("prior")).alias("encoded"),
+        "category", (weight * mean + (F.lit(1.0) - weight) * F.col("prior")).alias("encoded")
     )
     return TargetEncoding(blended, prior, column)
 

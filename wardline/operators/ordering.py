@@ -7,6 +7,7 @@ the bucket totals (one small row per bucket) are accumulated and joined back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,33 +72,40 @@ def running_totals(
 def quantile_table(df: DataFrame, column: str, fraction: float) -> DataFrame:
     """Exact linear-interpolated quantile as one row (``value``, null when empty).
 
-    Two passes over the input. A sketch brackets the quantile; then values outside the
-    bracket are only counted, and those inside (about 0.2% of the distinct values) are
-    grouped, written and ranked.
+    A sketch brackets the quantile, and the ranks at the bracket's edges are counted. Until
+    both neighbours of the quantile provably lie inside, the bracket is doubled; up to the
+    whole range, so the result is exact at every size. Values inside (a fraction of a
+    per cent of large tables) are grouped, written and ranked.
     """
     values = df.select(F.col(column).cast("double").alias("value")).where(F.col("value").isNotNull())
-    probes = [max(fraction - 2 * QUANTILE_ERROR, 0.0), min(fraction + 2 * QUANTILE_ERROR, 1.0)]
-    bracket = values.approxQuantile("value", probes, QUANTILE_ERROR)
-    if not bracket:
-        return values.agg(F.max("value").alias("value"))
-    low, high = bracket
-    side = F.when(F.col("value") < low, -1).when(F.col("value") > high, 1).otherwise(0)
-    inside = F.when(F.col("value").between(low, high), F.col("value"))
-    counts = materialize(
-        values.groupBy(side.alias("side"), inside.alias("value")).agg(F.count("*").alias("n_value")), "quantile"
-    )
-    below = F.coalesce(F.sum(F.when(F.col("side") < 0, F.col("n_value"))), F.lit(0))
-    sizes = counts.agg(F.struct(F.sum("n_value").alias("n"), below.alias("below")).alias("sizes"))
-    ranked = running_totals(counts.where("side = 0"), "value", ["n_value"]).withColumn("sizes", sizes.scalar())
-    position = F.lit(fraction) * (F.col("sizes.n") - 1)
+    width = 2 * QUANTILE_ERROR
+    while True:
+        probes = [max(fraction - width, 0.0), min(fraction + width, 1.0)]
+        error = 0.0 if probes == [0.0, 1.0] else QUANTILE_ERROR
+        bracket = values.approxQuantile("value", probes, error)
+        if not bracket:
+            return values.agg(F.max("value").alias("value"))
+        low, high = bracket
+        side = F.when(F.col("value") < low, -1).when(F.col("value") > high, 1).otherwise(0)
+        inside = F.when(F.col("value").between(low, high), F.col("value"))
+        counts = materialize(
+            values.groupBy(side.alias("side"), inside.alias("value")).agg(F.count("*").alias("n_value")), "quantile"
+        )
+        of_side = [F.coalesce(F.sum(F.when(F.col("side") == s, F.col("n_value"))), F.lit(0)) for s in (-1, 0)]
+        total, below, held = counts.agg(F.sum("n_value"), *of_side).first()
+        position = fraction * (total - 1)
+        if below <= math.floor(position) and math.ceil(position) < below + held or probes == [0.0, 1.0]:
+            break
+        width *= 8
+    ranked = running_totals(counts.where("side = 0"), "value", ["n_value"])
     # `last` is the zero-based rank of the last copy of a value.
-    last = F.col("sizes.below") + F.col("run_n_value") - 1
+    last = F.lit(below) + F.col("run_n_value") - 1
     ends = ranked.agg(
-        F.min(F.when(last >= F.floor(position), F.col("value"))).alias("lower"),
-        F.min(F.when(last >= F.ceil(position), F.col("value"))).alias("upper"),
-        F.max(position - F.floor(position)).alias("share"),
+        F.min(F.when(last >= math.floor(position), F.col("value"))).alias("lower"),
+        F.min(F.when(last >= math.ceil(position), F.col("value"))).alias("upper"),
     )
-    return ends.select((F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("share")).alias("value"))
+    share = F.lit(position - math.floor(position))
+    return ends.select((F.col("lower") + (F.col("upper") - F.col("lower")) * share).alias("value"))
 
 
 def exact_quantile(df: DataFrame, column: str, fraction: float) -> float | None:

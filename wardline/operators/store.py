@@ -128,14 +128,19 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def append_new(batch: DataFrame, root: str, keys: Sequence[str], order) -> DataFrame:
-    """Insert-if-absent into a plain Parquet table: only new rows are written."""
+    """Insert-if-absent into a plain Parquet table: only new rows are written.
+
+    The table is read by the batch's schema, so a folder that a lost first write left
+    without data is an empty table.
+    """
     spark = batch.sparkSession
+    reader = spark.read.schema(batch.schema)
     if path_exists(spark, root):
-        rows = insert_ignore(spark.read.parquet(root), batch, keys, order)
+        rows = insert_ignore(reader.parquet(root), batch, keys, order)
     else:
         rows = first_per_key(batch, keys, order)
     rows.write.mode("append").parquet(root)
-    return spark.read.parquet(root)
+    return reader.parquet(root)
 
 
 def write_kpis(new: DataFrame, root: str) -> DataFrame:

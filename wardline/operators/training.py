@@ -63,8 +63,6 @@ from wardline.operators.store import list_names, materialize, path_exists
 
 VECTOR, BLEND, PROB = "features", "blend", "readmission_prob"
 LOGISTIC_C, LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 1.0, 500, 1e-4
-# Calibration groups equal scores first; this resolution bounds the groups at 1,000,001.
-CALIBRATION_DIGITS = 6
 TREE_DEFAULTS = {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8}
 FOREST_DEFAULTS = {"numTrees": 100, "maxDepth": 8, "subsamplingRate": 0.8}
 
@@ -131,8 +129,12 @@ def random_forest(label: str = TARGET, seed: int = 42, params: Mapping | None =
 
 
 def fit_isotonic(df: DataFrame, label: str, score: str) -> IsotonicRegressionModel:
-    """Isotonic fit on scores grouped first (weight = cases, target = positive share)."""
-    grouped = df.groupBy(F.round(score, CALIBRATION_DIGITS).alias(score)).agg(
+    """Isotonic fit on scores grouped first (weight = cases, target = positive share).
+
+    Equal scores are one group; scores are taken as they are. The library pools each
+    partition's groups before its last step.
+    """
+    grouped = df.groupBy(score).agg(
         F.avg(F.col(label).cast("double")).alias("share"), F.count("*").cast("double").alias("cases")
     )
     return IsotonicRegression(

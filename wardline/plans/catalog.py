@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from wardline.config import NULL_THRESHOLDS, Settings
 from wardline.functions import coerce
 from wardline.functions import features as fx
-from wardline.operators import drift, explain, history, kpi, labels, metrics, quality, report, scoring, store, training
+from wardline.operators import drift, explain, history, kpi, labels, metrics, ordering, quality, report, scoring, store, training
 from wardline.operators.normalize import (
     long_conditions,
     long_diagnoses,
@@ -37,9 +37,8 @@ RESOLVED_BEFORE = date(2001, 1, 1)
 AS_OF = date(2001, 8, 5)
 SETTINGS = Settings(split_date=SPLIT)
 SEED = 42
-# Small learners for the catalogue; real runs take the defaults or search.
-TREES = {"maxIter": 10, "maxDepth": 4}
-FOREST = {"numTrees": 20, "maxDepth": 5}
+# The scores that the calibration query takes as its input are rounded once, like its SQL.
+SCORE_DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,7 +122,7 @@ class Job(OrderTables):
     @cached_property
     def encoded(self) -> DataFrame:
         """Model rows, with the encoding fitted before the split date."""
-        encoding = labels.fit_target_encoding(labels.split_by_date(self.labelled, SPLIT)[0])
+        encoding = labels.fit_target_encoding(labels.split_by_date(self.label_rows, SPLIT)[0])
         rows = encoding.apply(self.matrix, "drg_cd_encoded")
         targets = [fx.TARGET, fx.LOS_TARGET, fx.HIGH_COST_TARGET]
         return rows.select(*fx.ID_COLUMNS, *fx.FEATURE_COLUMNS, *targets)
@@ -468,6 +467,26 @@ def target_encode(job: Job) -> DataFrame:
     return encoding.apply(train.unionByName(test), "drg_cd_encoded").select("claim_id", "drg_cd", "drg_cd_encoded")
 
 
+@query
+def target_encode_text(job: Job) -> DataFrame:
+    """Text categories of any number: each patient's id is one, with numbers above 16 bits."""
+    rows = job.label_rows.withColumn("category", F.format_string("patient-%d", F.col("bene_id").cast("bigint") * 100_003))
+    train, _ = labels.split_by_date(rows, SPLIT)
+    encoded = labels.fit_target_encoding(train, "category").apply(rows, "encoded")
+    return encoded.select("claim_id", "category", "encoded")
+
+
+@query
+def quantile_by_month(job: Job) -> DataFrame:
+    """Exact 80 % quantile of the payments of small slices: one month each, of one year."""
+    paid = job.claims.where(F.year("admit_dt") == 1997).select(F.month("admit_dt").alias("month"), "claim_pmt_amt")
+    slices = [
+        ordering.quantile_table(paid.where(F.col("month") == m), "claim_pmt_amt", 0.8).select(F.lit(m).alias("month"), "value")
+        for m in range(1, 13)
+    ]
+    return reduce(DataFrame.unionByName, slices)
+
+
 @query
 def stratified_holdout(job: Job) -> DataFrame:
     rows = job.label_rows
@@ -541,7 +560,7 @@ def regression_metrics(job: Job) -> DataFrame:
 @query
 def soft_vote(job: Job) -> DataFrame:
     """Scorecard and encoded DRG as the two voters."""
-    encoding = labels.fit_target_encoding(labels.split_by_date(job.carded, SPLIT)[0])
+    encoding = labels.fit_target_encoding(labels.split_by_date(job.label_rows, SPLIT)[0])
     rows = encoding.apply(job.carded, "drg_cd_encoded")
     blend = training.soft_vote(F.col("readmission_prob"), F.col("drg_cd_encoded"))
     return rows.select("claim_id", blend.alias("blend")).withColumn("vote", training.vote_class(F.col("blend")))
@@ -550,7 +569,7 @@ def soft_vote(job: Job) -> DataFrame:
 @query
 def isotonic_calibrate(job: Job) -> DataFrame:
     """Isotonic fit of the scorecard, at each of its scores."""
-    rows = job.carded.select(fx.TARGET, F.round("readmission_prob", training.CALIBRATION_DIGITS).alias("score"))
+    rows = job.carded.select(fx.TARGET, F.round("readmission_prob", SCORE_DIGITS).alias("score"))
     stored = store.materialize(rows, "calibration-rows")
     model = training.fit_isotonic(stored, fx.TARGET, "score")
     grid = stored.groupBy("score").agg(F.count("*").alias("cases"))
@@ -814,21 +833,21 @@ def model_logistic(job: Job) -> DataFrame:
 @query
 def model_gbt_a(job: Job) -> DataFrame:
     fit_rows, test_rows = _fit_rows(job)
-    scored = training.boosted_trees(params=TREES).fit(fit_rows).transform(test_rows)
+    scored = training.boosted_trees().fit(fit_rows).transform(test_rows)
     return scored.select("claim_id", fx.TARGET, training.positive("gbt_probability").alias("prob"))
 
 
 @query
 def model_rf_b(job: Job) -> DataFrame:
     fit_rows, test_rows = _fit_rows(job)
-    scored = training.random_forest(params=FOREST).fit(fit_rows).transform(test_rows)
+    scored = training.random_forest().fit(fit_rows).transform(test_rows)
     return scored.select("claim_id", fx.TARGET, training.positive("forest_probability").alias("prob"))
 
 
 @query
 def train_ladder(job: Job) -> DataFrame:
     result = training.train_readmission(
-        *job.stored_sides, _model_root(job), "1", SETTINGS, tree_params=TREES, forest_params=FOREST
+        *job.stored_sides, _model_root(job), "1", SETTINGS
     )
     return result.metrics
 
@@ -837,7 +856,7 @@ def train_ladder(job: Job) -> DataFrame:
 def score_claims(job: Job) -> DataFrame:
     train, test = job.stored_sides
     fit_rows, hold_rows = training.holdout_split(train, SEED)
-    model = training.fit_ensemble(fit_rows, hold_rows, training.feature_names(train), SETTINGS, TREES, FOREST)
+    model = training.fit_ensemble(fit_rows, hold_rows, training.feature_names(train), SETTINGS)
     path = f"{_model_root(job)}/v1"
     model.save(path)
     scored = training.score_assembled(model, training.prepare(test, fx.TARGET, "score"), path)
@@ -847,7 +866,7 @@ def score_claims(job: Job) -> DataFrame:
 @query
 def top3_tree(job: Job) -> DataFrame:
     fit_rows, test_rows = _fit_rows(job)
-    model = training.boosted_trees(params=TREES).fit(fit_rows)
+    model = training.boosted_trees().fit(fit_rows)
     path = f"{_model_root(job)}/gbt"
     model.write().save(path)
     leaves = explain.read_leaves(job.spark, path, model.treeWeights)
@@ -858,15 +877,15 @@ def top3_tree(job: Job) -> DataFrame:
 
 @query
 def model_los(job: Job) -> DataFrame:
-    return training.train_los(*job.stored_sides, SEED, {"maxIter": 20, "maxDepth": 4})[1]
+    return training.train_los(*job.stored_sides, SEED)[1]
 
 
 @query
 def los_pred_vs_actual(job: Job) -> DataFrame:
-    _, _, scored = training.train_los(*job.stored_sides, SEED, {"maxIter": 10, "maxDepth": 4})
+    _, _, scored = training.train_los(*job.stored_sides, SEED)
     return report.los_predicted_vs_actual(scored, job.features)
 
 
 @query
 def model_high_cost(job: Job) -> DataFrame:
-    return training.train_high_cost(*job.stored_sides, SEED, {"maxIter": 10, "maxDepth": 4})[1]
+    return training.train_high_cost(*job.stored_sides, SEED)[1]

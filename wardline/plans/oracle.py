@@ -525,6 +525,12 @@ _BODIES: dict[str, str] = {
     "FROM claims, (SELECT quantile_cont(CAST(claim_pmt_amt AS DOUBLE), 0.8) AS th FROM claims)",
     "temporal_split": f"SELECT CASE WHEN admit_dt < {_SPLIT} THEN 'train' ELSE 'test' END AS side, count(*) AS n_rows, {_r('avg(readmitted_30d)', 'positive_rate')} FROM lab GROUP BY 1",
     "target_encode": _encoding("lab") + f"SELECT claim_id, drg_cd, {_r(_ENCODED, 'drg_cd_encoded')} FROM lab t",
+    "target_encode_text": ", labt AS (SELECT *, 'patient-' || CAST(CAST(bene_id AS BIGINT) * 100003 AS VARCHAR) AS category FROM lab)"
+    + _encoding("labt").replace("drg_cd", "category")
+    + f"SELECT claim_id, category, {_r(_ENCODED.replace('drg_cd', 'category'), 'encoded')} FROM labt t",
+    "quantile_by_month": "SELECT CAST(m AS INTEGER) AS month, "
+    + _r("(SELECT quantile_cont(CAST(claim_pmt_amt AS DOUBLE), 0.8) FROM claims WHERE year(admit_dt) = 1997 AND month(admit_dt) = m)", "value")
+    + " FROM range(1, 13) r(m)",
     "stratified_holdout": f"SELECT claim_id, readmitted_30d, CAST(rk <= floor(sz * CAST(0.2 AS DOUBLE)) AS INTEGER) AS is_holdout FROM ({_STRATA})",
     "stratified_folds": f"SELECT claim_id, readmitted_30d, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM ({_STRATA})",
     "class_weights": "SELECT count(*) FILTER (WHERE readmitted_30d = 0) AS negatives, count(*) FILTER (WHERE readmitted_30d = 1) AS positives, "
