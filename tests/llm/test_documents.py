@@ -74,12 +74,16 @@ def test_language_without_labels_or_rows(spark):
 # --- quality -------------------------------------------------------------------------
 
 
-def brute_quality(rows, least):
+def norm(line):
+    return " ".join(words(line.translate(LOWER)))
+
+
+def brute_frequent(rows, least):
+    """Per host the lines above the limits, and the document that keeps each."""
     texts = collections.defaultdict(dict)
     for doc_id, text, _, source, _ in rows:
         known = texts[source or ""]
         known[text or ""] = min(known.get(text or "", doc_id), doc_id)
-    norm = lambda line: " ".join(words(line.translate(LOWER)))
     frequent = {}
     for host, known in texts.items():
         holders = collections.defaultdict(set)
@@ -88,7 +92,11 @@ def brute_quality(rows, least):
                 if norm(line):
                     holders[norm(line)].add(doc_id)
         frequent[host] = {x: min(ids) for x, ids in holders.items() if len(ids) > max(least, 0.1 * len(known))}
-    out = {}
+    return frequent
+
+
+def brute_quality(rows, least):
+    frequent, out = brute_frequent(rows, least), {}
     for doc_id, text, _, source, _ in rows:
         text, found = text or "", words(text)
         lines = [line for line in text.split("\n") if norm(line)]
