@@ -26,16 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import array, lower_ascii, slices, split_words, text_array
+from wardline.llm.common import array, slices, split_words, text_array
 from wardline.operators.store import materialize
 
 VOCABULARY = 2048
 CLASSES = 32
 HIDDEN = 16
-WINDOW = 32
+WINDOW = 64
 LANES = 256
 RATE = 0.15
 FIRST_SHARE = 8  # one block in so many trains first
@@ -47,6 +48,16 @@ _TREE = 32
 # --- counts --------------------------------------------------------------------------
 
 
+def pack(index: np.ndarray) -> bytes:
+    """Numbers below 2^32 byte by byte: frequent words have low numbers, so the planes of
+    the higher bytes compress well."""
+    return index.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack(content: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(content, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def text_blocks(docs: DataFrame, held: Column) -> DataFrame:
     """One row per block: its documents, their words as numbers, and its dictionary."""
     schema = (
@@ -56,10 +67,13 @@ def text_blocks(docs: DataFrame, held: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=BLOCK_BYTES):
-            split = split_words(text_array(batch))
-            words: dict[str, int] = {}
-            merged = [words.setdefault(w, len(words)) for w in map(lower_ascii, split.parts)]
-            index = np.array(merged, np.int64)[split.index] if merged else split.index
+            split = split_words(pc.ascii_lower(text_array(batch)))
+            # The most frequent words first; an empty part is not a word and is used nowhere.
+            times = np.bincount(split.index, minlength=len(split.parts))
+            order = np.argsort(-times, kind="stable")[: np.count_nonzero(times)]
+            ranks = np.zeros(len(split.parts), np.int64)
+            ranks[order] = np.arange(len(order))
+            index, words = ranks[split.index], [split.parts[k] for k in order.tolist()]
             lengths = np.diff(split.offsets)
             out = batch.column("held").to_numpy(zero_copy_only=False)
             trained = np.bincount(index[np.repeat(~out, lengths)], minlength=len(words))
@@ -67,8 +81,8 @@ def text_blocks(docs: DataFrame, held: Column) -> DataFrame:
                 "doc_ids": array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                 "held": array([out.tolist()], pa.list_(pa.bool_())),
                 "lengths": array([lengths], pa.list_(pa.int64())),
-                "index": array([index.astype("<i4").tobytes()], pa.binary()),
-                "words": array([list(words)], pa.list_(pa.string())),
+                "index": array([pack(index)], pa.binary()),
+                "words": array([words], pa.list_(pa.string())),
                 "trained": array([trained[: len(words)]], pa.list_(pa.int64())),
             })
 
@@ -170,7 +184,8 @@ def _recur(w: dict, inputs: np.ndarray, first: np.ndarray, state: np.ndarray, ke
     states, state = np.empty((*inputs.shape, HIDDEN), np.float32), state[: inputs.shape[1]]
     memory = [np.empty_like(states) for _ in range(5)] if keep else None
     for t in range(len(inputs)):
-        state = np.where(first[t][:, None], np.float32(0), state)
+        if first[t].any():
+            state = np.where(first[t][:, None], np.float32(0), state)
         turned = state @ w["turn"]
         gates = _sigmoid(given[t, :, :h2] + turned[:, :h2])
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
@@ -209,25 +224,29 @@ def _outputs(model: Model, states: np.ndarray, targets: np.ndarray, grads: dict
         back = odds @ w["class"].T
         grads["word"], grads["word_bias"] = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
     order = np.argsort(kinds, kind="stable")
-    cuts = np.searchsorted(kinds[order], np.arange(model.classes + 1))
+    cuts = np.searchsorted(kinds[order], np.arange(model.classes + 1)).tolist()
+    grouped, wanted = states[order[: cuts[-1]]], targets[order[: cuts[-1]]]
+    inside, returned = np.zeros(len(wanted)), np.zeros_like(grouped) if grads is not None else None
     for kind in range(model.classes):
-        mine = order[cuts[kind] : cuts[kind + 1]]
-        a, b = model.first[kind], model.first[kind + 1]
-        if not len(mine) or b - a == 1:
+        mine, a, b = slice(cuts[kind], cuts[kind + 1]), model.first[kind], model.first[kind + 1]
+        own, table = grouped[mine], w["word"][a:b]
+        if not len(own) or b - a == 1:
             continue
-        own, table = states[mine], w["word"][a:b]
         inner = own @ table.T + w["word_bias"][a:b]
         inner -= inner.max(axis=1, keepdims=True)
-        spread = np.exp(inner)
-        total = spread.sum(axis=1)
-        place = np.arange(len(mine)), targets[mine] - a
-        found[mine] += inner[place] - np.log(total)
+        place = np.arange(len(own)), wanted[mine] - a
+        picked = inner[place]
+        np.exp(inner, out=inner)
+        total = inner.sum(axis=1)
+        inside[mine] = picked - np.log(total)
         if grads is not None:
-            spread /= total[:, None]
-            spread[place] -= 1
-            spread /= len(targets)
-            grads["word"][a:b], grads["word_bias"][a:b] = spread.T @ own, spread.sum(axis=0)
-            back[mine] += spread @ table
+            inner *= (1 / (total * len(targets)))[:, None]
+            inner[place] -= 1 / len(targets)
+            grads["word"][a:b], grads["word_bias"][a:b] = inner.T @ own, inner.sum(axis=0)
+            np.matmul(inner, table, out=returned[mine])
+    found[order[: cuts[-1]]] += inside
+    if grads is not None:
+        back[order[: cuts[-1]]] += returned
     return found, back
 
 
@@ -247,24 +266,28 @@ def train(model: Model, tokens: np.ndarray, lengths: np.ndarray, squares: dict)
         above = np.zeros_like(flat)
         above[live] = back
         above = above.reshape(states.shape)
-        delta, inner = np.empty((*inputs.shape, 3 * HIDDEN), np.float32), np.empty_like(states)
+        # What a gradient of the state passes on to each gate, for all times at once.
+        to_keep, to_new = (before - new) * z * (1 - z), (1 - z) * (1 - new**2)
+        to_reset = turned * r * (1 - r)
+        through, d_new = np.empty((*inputs.shape, 3 * HIDDEN), np.float32), np.empty_like(states)
+        back_turn = np.ascontiguousarray(w["turn"].T)
         down = np.zeros((inputs.shape[1], HIDDEN), np.float32)
         for t in range(len(inputs) - 1, -1, -1):
             down = down + above[t]
-            d_new = down * (1 - z[t]) * (1 - new[t] ** 2)
-            delta[t, :, :HIDDEN] = down * (before[t] - new[t]) * z[t] * (1 - z[t])
-            delta[t, :, HIDDEN : 2 * HIDDEN] = d_new * turned[t] * r[t] * (1 - r[t])
-            delta[t, :, 2 * HIDDEN :] = d_new
-            inner[t] = d_new * r[t]
-            through = np.concatenate([delta[t, :, : 2 * HIDDEN], inner[t]], axis=1)
-            down = down * z[t] + through @ w["turn"].T
-            down = np.where(first[t][:, None], np.float32(0), down)
-        through = np.concatenate([delta[..., : 2 * HIDDEN], inner], axis=-1).reshape(-1, 3 * HIDDEN)
+            fresh = np.multiply(down, to_new[t], out=d_new[t])
+            np.multiply(down, to_keep[t], out=through[t, :, :HIDDEN])
+            np.multiply(fresh, to_reset[t], out=through[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(fresh, r[t], out=through[t, :, 2 * HIDDEN :])
+            down = down * z[t] + through[t] @ back_turn
+            if first[t].any():
+                down[first[t]] = 0
+        through = through.reshape(-1, 3 * HIDDEN)
         grads["turn"] = before.reshape(-1, HIDDEN).T @ through
+        delta = np.concatenate([through[:, : 2 * HIDDEN], d_new.reshape(-1, HIDDEN)], axis=1)
         order = np.argsort(inputs.ravel(), kind="stable")
         used, starts = np.unique(inputs.ravel()[order], return_index=True)
         grads["inputs"] = np.zeros_like(w["inputs"])
-        grads["inputs"][used] = np.add.reduceat(delta.reshape(-1, 3 * HIDDEN)[order], starts)
+        grads["inputs"][used] = np.add.reduceat(delta[order], starts)
         for name, grad in grads.items():
             squares[name] = squares.get(name, np.float32(1e-8)) + grad * grad
             w[name] -= np.float32(RATE) * grad / np.sqrt(squares[name])
@@ -306,7 +329,7 @@ def _fit(blocks: DataFrame, model: Model) -> None:
                 for row in batch.to_pylist():
                     lengths, held = np.array(row["lengths"], np.int64), np.array(row["held"], bool)
                     ids = np.array([own.ids.get(x, own.rare) for x in row["words"]], np.int64)
-                    index = np.frombuffer(row["index"], "<i4")[np.repeat(~held, lengths)]
+                    index = unpack(row["index"])[np.repeat(~held, lengths)]
                     if held.all():
                         continue
                     tokens, sizes = with_ends(ids[index] if len(ids) else index, lengths[~held], END)
@@ -371,7 +394,7 @@ def score_documents(docs: DataFrame, held: Column) -> DataFrame:
             c = np.zeros(len(row["words"]) + 1)
             c[known["pos"].to_numpy()] = known["c"].to_numpy()
             c[-1] = ends
-            tokens, sizes = with_ends(np.frombuffer(row["index"], "<i4").astype(np.int64), np.array(row["lengths"], np.int64), len(c) - 1)
+            tokens, sizes = with_ends(unpack(row["index"]), np.array(row["lengths"], np.int64), len(c) - 1)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             base = np.bincount(owner, weights=np.log10((c + 0.5) / scale)[tokens], minlength=len(sizes))
             scores = base
