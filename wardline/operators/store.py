@@ -149,15 +149,22 @@ def write_kpis(new: DataFrame, root: str) -> DataFrame:
     Nothing already written is replaced, so readers and lost jobs never see a partition
     half rewritten, and writing the same batch again changes nothing.
     """
-    stamped = new.withColumn(WRITTEN_AT, F.lit(time.time_ns()))
+    spark = new.sparkSession
+    # Above every number written before, also where this driver's clock is behind.
+    newest = written_kpis(spark, root).agg(F.max(WRITTEN_AT)).first()[0] if path_exists(spark, root) else None
+    stamped = new.withColumn(WRITTEN_AT, F.lit(max(time.time_ns(), (newest or 0) + 1)))
     stamped.write.mode("append").partitionBy("snapshot_date").parquet(root)
     return read_kpis(new.sparkSession, root)
 
 
+def written_kpis(spark: SparkSession, root: str) -> DataFrame:
+    """All KPI rows as written, older writings of a key included."""
+    return spark.read.schema(StructType.fromDDL(f"{KPI_DDL}, {WRITTEN_AT} bigint")).parquet(root)
+
+
 def read_kpis(spark: SparkSession, root: str) -> DataFrame:
     """KPI rows, the newest writing of each key. Filters on the date prune partitions."""
-    schema = StructType.fromDDL(f"{KPI_DDL}, {WRITTEN_AT} bigint")
-    written = spark.read.schema(schema).parquet(root)
+    written = written_kpis(spark, root)
     return written.groupBy(*KPI_KEY).agg(F.max_by("metric_value", WRITTEN_AT).alias("metric_value"))
 
 

@@ -186,7 +186,7 @@ def snapshot_kpis(warehouse: Warehouse, settings: Settings, as_of: date, days: i
     root = warehouse.path("analytics/kpi_snapshots")
     alerts_root = warehouse.path("analytics/pipeline_alerts")
     if store.path_exists(warehouse.spark, root):
-        raise_if_stale(store.read_kpis(warehouse.spark, root), alerts_root, as_of, settings)
+        raise_if_stale(store.written_kpis(warehouse.spark, root), alerts_root, as_of, settings)
     rows = kpi.kpi_input(
         warehouse.current("analytics/risk_scores"),
         warehouse.read("claims/inpatient_claims"),
@@ -195,14 +195,18 @@ def snapshot_kpis(warehouse: Warehouse, settings: Settings, as_of: date, days: i
     if days is not None:
         rows = kpi.lookback(rows, as_of, days)
     written = store.write_kpis(kpi.kpi_snapshot(rows, F.lit(as_of), settings.national_avg_los_days), root)
-    raise_if_stale(written, alerts_root, as_of, settings)
+    raise_if_stale(store.written_kpis(warehouse.spark, root), alerts_root, as_of, settings)
     return written
 
 
 def raise_if_stale(kpis: DataFrame, alerts_root: str, as_of: date, settings: Settings = Settings()) -> None:
-    """Append a ``stale_kpi`` alert when the newest snapshot is too old (once per day)."""
+    """Append a ``stale_kpi`` alert when the newest snapshot is too old (once per day).
+
+    Only the newest date counts, so the rows need not be merged by key.
+    """
     new = drift.freshness_alerts(kpis, as_of, F.lit(as_of), settings.freshness_alert_hours)
-    store.append_new(new, alerts_root, ["alert_id"], [F.col("created_at")])
+    if new.take(1):  # at most one row; without it no file is written
+        store.append_new(new, alerts_root, ["alert_id"], [F.col("created_at")])
 
 
 def weekly_report(warehouse: Warehouse, as_of: date) -> dict[str, DataFrame]:
