@@ -24,7 +24,7 @@ from sentencepiece import sentencepiece_model_pb2
 from wardline.llm.common import Shipped, Split, array, slices, spread, text_array
 
 MARK = "▁"
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 250_000
 # Candidates for a character that no text of a slice has: private use, 6,400 of them.
 _CUTS = [chr(c) for c in range(0xE000, 0xF900)]
 
@@ -138,5 +138,6 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = False) -
             if keep_ids:
                 columns |= {"ids": array(lists, pa.list_(pa.int32())), "decoded": array(decoded, pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
+        codec.clear()  # workers live on; later stages need the memory
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
