@@ -276,6 +276,20 @@ def test_mixing_takes_given_targets_and_edge_rows(spark):
     assert source_mixing.sample_documents(df).columns == df.columns
 
 
+def test_one_stray_cell_does_not_thin_out_the_sample(spark):
+    rows = [r for r in documents(300) if r[1]]
+    tokens = {r[0]: len(words(r[1])) for r in rows}
+    stray = (len(rows) + 1000, "four words stand here", "xx", "stray", 21)
+    df = frame(spark, [*rows, stray])
+    cells = source_mixing.calibrate(source_mixing.described(df))
+    assert max(c.factor for c in cells.collect()) > 4
+    found = collections.Counter(r.doc_id for r in source_mixing.sample_documents(df).collect())
+    assert found[stray[0]] >= 2 and set(found) - {stray[0]} <= set(tokens)
+    assert sum(tokens.get(i, 4) * n for i, n in found.items()) > 0.4 * sum(tokens.values())
+    expected = {r.doc_id: r.factor * source_mixing.LEAST_SHARE for r in source_mixing.mix_documents(df).collect() if r.n_tokens}
+    assert all(abs(found[i] - e) < 1 for i, e in expected.items())
+
+
 # --- language model ------------------------------------------------------------------
 
 

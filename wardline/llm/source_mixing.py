@@ -6,6 +6,11 @@ A cell's factor, weight over tokens, divided by the largest factor is the probab
 which each of its documents is kept, so expected token shares are the targets and no
 probability is cut. The draw is a hash of the document's id: it repeats on every run.
 
+The sample of ``sample_documents`` does not shrink with the rarest cell: where the largest
+factor would leave less than ``LEAST_SHARE`` of the tokens, the factors are scaled to that
+share, and a document with an expectation above 1 is repeated: its whole copies, and one
+more by the draw of the fraction. Expected shares of the cells stay the same.
+
 The cell table is far smaller than the corpus: one pass over the documents builds it, with
 map-side combine, and the rounds run on it. Each round is written and read back, so plans
 stay short and a lost executor repeats one round at most.
@@ -24,6 +29,8 @@ MARGINS = ("source", "lang", "topic")
 # Targets where none are given: shares of the tokens to these powers, brought to sum 1.
 POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 ROUNDS = 8
+# Share of the tokens that a sample holds at least, in expectation.
+LEAST_SHARE = 0.5
 WORDS = r"[^\x20\x09-\x0D]+"
 # First match wins; patterns over the whole text, whatever the case of A-Z.
 TOPICS = (("legal", "licen[cs]e|copyright|rights reserved"), ("contact", "@|phone|www[.]"), ("numeric", "[0-9]{4}"))
@@ -114,8 +121,20 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def copies(cells: DataFrame) -> DataFrame:
+    """Cells with ``expected``, the expected number of copies of each of their documents.
+
+    Tokens times factors sum to all tokens, so a scale of the factors is the share kept.
+    """
+    return cells.withColumn("expected", F.greatest("probability", F.col("factor") * LEAST_SHARE))
+
+
 def sample_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the draw keeps, columns unchanged."""
+    """The documents that the draw keeps, as often as it does; columns unchanged."""
     rows = described(docs)
-    cells = calibrate(rows.select(*[f"m_{m}" for m in MARGINS], "n_tokens"))
-    return mix(rows, cells).where("kept").select(*docs.columns)
+    keys = [f"m_{m}" for m in MARGINS]
+    cells = copies(calibrate(rows.select(*keys, "n_tokens")))
+    whole = F.floor("expected")
+    count = (whole + (draw() < F.col("expected") - whole).cast("bigint")).cast("int")
+    drawn = rows.join(cells.select(*keys, "expected"), keys).withColumn("m_copies", count).where("m_copies > 0")
+    return drawn.select(*docs.columns, F.explode(F.array_repeat(F.lit(True), F.col("m_copies"))).alias("m_copy")).select(*docs.columns)
