@@ -117,5 +117,20 @@ def test_covered_equals_brute_force():
         assert (html_text.covered(tokens, pages, run, least) == expected).all()
 
 
+@pytest.mark.parametrize("size", [4, 1000])
+def test_repeats_are_those_of_the_whole_host(spark, monkeypatch, size):
+    monkeypatch.setattr(html_text, "BUCKET_PAGES", size)
+    notice, rare, copy = ("".join(f"{w}{k} " for k in range(9)) for w in ("notice", "rare", "copy"))
+    texts = {k: f"own {k}" for k in range(24)}
+    rows = [(k, f"<p>{t}</p>" + (f"<div>{notice}</div>" if k % 8 == 1 else f"<div>{rare}</div>" if k in (2, 13) else "")) for k, t in texts.items()]
+    rows += [(100 + k, f"<div>{copy}</div>") for k in range(12)]
+    rows += [(200, f"<article><p>all {notice}</p></article>"), (201, "")]
+    df = spark.createDataFrame([(k, "http://h/", h) for k, h in rows], "page_id bigint, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    expected = {k: f"{t} {rare}".strip() if k in (2, 13) else t for k, t in texts.items()}
+    expected |= {100 + k: copy.strip() for k in range(12)} | {200: f"all {notice}".strip(), 201: ""}
+    assert found == expected
+
+
 def test_no_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
