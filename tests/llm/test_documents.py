@@ -140,6 +140,22 @@ def test_clean_removes_frequent_lines_and_rejected_documents(spark, monkeypatch)
     assert line_quality.judge(frame(spark, [])).count() == line_quality.clean(frame(spark, [])).count() == 0
 
 
+def test_limits_of_clean_do_not_grow_with_the_host(spark):
+    short = "one line that many texts of every host have"
+    long = " ".join(f"passage{k}" for k in range(60))
+    rows = []
+    for host, size in (("small", 30), ("middle", 200), ("hot", 900)):
+        for k in range(size):
+            own = " ".join(f"{host}{k}x{j}" for j in range(60))
+            shared = [short] if k < 70 else []
+            text = "\n".join([own, *shared, *([long] if k < 6 else [])])
+            rows.append((len(rows), text, "en", host, len(text)))
+    kept = line_quality.clean(frame(spark, rows)).collect()
+    left = collections.Counter((r.source, line) for r in kept for line in r.text.split("\n") if line in (short, long))
+    assert len(kept) == len(rows)
+    assert left == {("small", short): 30, ("middle", short): 1, ("hot", short): 1} | {(h, long): 1 for h in ("small", "middle", "hot")}
+
+
 # --- near duplicates -----------------------------------------------------------------
 
 

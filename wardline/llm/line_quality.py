@@ -7,6 +7,10 @@ is removed from the host's documents, except from the one with the lowest id, wh
 it. A document is depleted when fewer than ``MIN_LEFT_WORDS`` words, or less than
 ``MIN_LEFT_SHARE`` of its words, remain.
 
+``clean``, the pipeline's stage, has limits that do not grow with the host: more than
+``MIN_TEXTS`` distinct texts, or more than ``LONG_TEXTS`` for lines of ``LONG_WORDS`` words.
+``judge`` keeps the limit above, which its query's SQL names.
+
 Counting aggregates (host, line, text) with map-side combine; a line that a third of all
 documents have is one row per text, and its count is a sum. The lines above the limits
 come back to the documents by an equi-join whose document side adaptive execution can split.
@@ -32,6 +36,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_TEXTS = 50
 MAX_SHARE = 0.1
+LONG_WORDS = 50
+LONG_TEXTS = 4
 MIN_LEFT_WORDS = 10
 MIN_LEFT_SHARE = 0.2
 SYMBOLS = "[#*$%&|<>]"
@@ -68,9 +74,9 @@ def repeated_words(index: np.ndarray, offsets: np.ndarray, window: int = WINDOW)
 
 def statistics(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, host``, the statistics, ``text_hash`` and ``lines``
-    (hash and words of each distinct line with a word, and how often it stands there)."""
-    schema = f"doc_id bigint, host string, text_hash bigint, {STATS}, lines array<struct<line:bigint,n_words:bigint>>"
-    lines_type = pa.list_(pa.struct([("line", pa.int64()), ("n_words", pa.int64())]))
+    (of each distinct line with a word: hash, words over all its places, words of one)."""
+    schema = f"doc_id bigint, host string, text_hash bigint, {STATS}, lines array<struct<line:bigint,n_words:bigint,size:bigint>>"
+    lines_type = pa.list_(pa.struct([(name, pa.int64()) for name in ("line", "n_words", "size")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -85,9 +91,9 @@ def statistics(docs: DataFrame) -> DataFrame:
                     if size:
                         again += line in seen
                         seen.add(line)
-                        found[key] = found.get(key, 0) + size
+                        found[key] = (found.get(key, (0,))[0] + size, size)
                 doubles.append(again)
-                lines.append([{"line": k, "n_words": n} for k, n in found.items()])
+                lines.append([{"line": k, "n_words": n, "size": size} for k, (n, size) in found.items()])
                 hashes.append(int.from_bytes(xxhash.xxh3_64_digest(text), "big", signed=True))
             spaces = pc.count_substring_regex(arrow, r"[\x20\x09-\x0D]")
             yield pa.RecordBatch.from_pydict({
@@ -106,12 +112,17 @@ def statistics(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", host, "text").mapInArrow(run, schema)
 
 
-def frequent_lines(stats: DataFrame) -> DataFrame:
-    """``host, line, first_doc_id`` of the lines above their host's limits."""
+def frequent_lines(stats: DataFrame, absolute: bool = False) -> DataFrame:
+    """``host, line, first_doc_id`` of the lines above their host's limits, or the ``absolute`` ones."""
     texts = stats.groupBy("host", "text_hash").agg(F.min("doc_id").alias("doc_id"), F.first("lines").alias("lines"))
+    lines = texts.select("host", "doc_id", F.inline("lines"))
+    counted = lines.groupBy("host", "line").agg(
+        F.count("*").alias("n_texts"), F.min("doc_id").alias("first_doc_id"), F.max("size").alias("size")
+    )
+    if absolute:
+        most = F.when(F.col("size") >= LONG_WORDS, min(LONG_TEXTS, MIN_TEXTS)).otherwise(MIN_TEXTS)
+        return counted.where(F.col("n_texts") > most).select("host", "line", "first_doc_id")
     limits = texts.groupBy("host").agg(F.greatest(F.lit(MIN_TEXTS), F.count("*") * MAX_SHARE).alias("most"))
-    lines = texts.select("host", "doc_id", F.explode("lines.line").alias("line"))
-    counted = lines.groupBy("host", "line").agg(F.count("*").alias("n_texts"), F.min("doc_id").alias("first_doc_id"))
     frequent = counted.where(F.col("n_texts") > MIN_TEXTS).join(limits, "host")
     return frequent.where(F.col("n_texts") > F.col("most")).select("host", "line", "first_doc_id")
 
@@ -119,13 +130,13 @@ def frequent_lines(stats: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, keep_lines: bool = False) -> DataFrame:
     """Verdicts: ``doc_id``, statistics, ``n_left_words, base_failed, kept``.
 
-    With ``keep_lines`` also ``text_hash`` and ``removed``, the hashes of the lines to
-    remove, for ``clean``. Null and empty texts have no words and fail. A null source is a
+    With ``keep_lines`` the limits are the absolute ones, and there are also ``text_hash`` and ``removed``, the
+    hashes of the lines to remove, for ``clean``. Null and empty texts have no words and fail. A null source is a
     host of its own. Repeated rows are judged each; an empty table gives no rows.
     """
     stats = materialize(statistics(docs).withColumn("row_id", F.monotonically_increasing_id()), "line-statistics")
     exploded = stats.select("row_id", "doc_id", "host", F.inline("lines"))
-    joined = exploded.join(frequent_lines(stats), ["host", "line"])
+    joined = exploded.join(frequent_lines(stats, keep_lines), ["host", "line"])
     hit = joined.where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
     removed = hit.groupBy("row_id").agg(
         F.sum(F.col("n_words")).alias("n_removed"), F.sort_array(F.collect_set("line")).alias("removed")
