@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.llm import embedding_join, gated_lm, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_counts, token_store
+from wardline.llm import embedding_join, gated_lm, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_counts, token_store, vector_codes
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
@@ -180,3 +181,57 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every whole text under a gated recurrent model and a base."""
     return gated_lm.score_documents(table(spark, sf_dir, "documents"), held_out("doc_id", 5, 1))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, with codebooks fitted on all of them."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256")
+    return coded.select("vec_id", "code", "error", "label_error", digest)
+
+
+def _codes_sql() -> str:
+    """Rounds unrolled; squared distances by inner products, which are exact here."""
+    n, m = vector_codes.PARTS, vector_codes.ENTRIES
+
+    def assign(name: str, books: str) -> str:
+        return f""", {name} AS MATERIALIZED (
+  SELECT p.row, p.pos, min(struct_pack(d := CAST(p.xx - 2 * list_inner_product(p.x, b.x) + b.xx AS BIGINT), k := b.k)) AS best
+  FROM p JOIN {books} b USING (pos) GROUP BY 1, 2)"""
+
+    parts = [f"""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda y: floor(y::DOUBLE * {vector_codes.SCALE})) AS z
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+), p AS MATERIALIZED (
+  SELECT row, vec_id, pos, x, list_inner_product(x, x) AS xx FROM (
+    SELECT row, vec_id, pos, z[pos * len(z) // {n} + 1 : (pos + 1) * len(z) // {n}] AS x
+    FROM v, (SELECT unnest(range({n})) AS pos))
+), b0 AS MATERIALIZED (
+  SELECT pos, k, x, xx FROM (
+    SELECT pos, x, xx, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS k FROM p) WHERE k < {m}
+)"""]
+    for r in range(vector_codes.ROUNDS):
+        parts.append(assign(f"a{r}", f"b{r}"))
+        parts.append(f""", s{r} AS (
+  SELECT pos, k, list(t ORDER BY i) AS x FROM (
+    SELECT pos, best.k AS k, i, floor(sum(x[i]) / count(*)) AS t
+    FROM (SELECT pos, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{r} JOIN p USING (row, pos)) GROUP BY 1, 2, 3) GROUP BY 1, 2
+), b{r + 1} AS MATERIALIZED (
+  SELECT pos, k, x, list_inner_product(x, x) AS xx FROM (
+    SELECT b.pos, b.k, coalesce(s.x, b.x) AS x FROM b{r} b LEFT JOIN s{r} s USING (pos, k)))""")
+    last = f"b{vector_codes.ROUNDS}"
+    parts.append(assign("f", last))
+    parts.append(f""", digest AS (
+  SELECT sha256(string_agg(t, ',' ORDER BY pos, k)) AS codebooks_sha256
+  FROM (SELECT pos, k, array_to_string(list_transform(x, lambda y: y::BIGINT::VARCHAR), ',') AS t FROM {last})
+), c AS (
+  SELECT row, string_agg(printf('%02x', best.k), '' ORDER BY pos) AS code, sum(best.d)::BIGINT AS error FROM f GROUP BY 1)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM c JOIN v USING (row), digest""")
+    return "".join(parts)
+
+
+ORACLE_SQL["op12_vector_codes"] = _codes_sql()
