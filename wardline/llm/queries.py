@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import embedding_join, gated_lm, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_counts, token_store, vector_codes
+from wardline.llm import embedding_join, gated_lm, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_alignment, token_counts, token_store, vector_codes
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,3 +236,10 @@ FROM c JOIN v USING (row), digest""")
 
 
 ORACLE_SQL["op12_vector_codes"] = _codes_sql()
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between byte-level BPE tokens and SentencePiece pieces."""
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.align(docs, public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL))

@@ -52,14 +52,19 @@ class ChunkTable:
             and not any(MARK in p.lstrip(MARK) for p in pieces)
         )
 
-    def chunks(self, texts: pa.Array) -> Split:
-        """Chunks of each text, without their first marker; spaces are further markers."""
+    def chunks(self, texts: pa.Array) -> Split | None:
+        """Chunks of each text, without their first marker; spaces are further markers.
+
+        None where the texts leave no character to cut at.
+        """
         texts = pc.replace_substring(texts, MARK, " ")
         runs = pc.any(pc.match_substring_regex(texts, "  |^ | $")).as_py()
         if not runs:
             return Split(texts, " ")
         # Cut before each run of spaces, at a character that the texts lack.
-        cut = next(c for c in _CUTS if not pc.any(pc.match_substring(texts, c)).as_py())
+        cut = next((c for c in _CUTS if not pc.any(pc.match_substring(texts, c)).as_py()), None)
+        if cut is None:
+            return None
         texts = pc.binary_join_element_wise(" ", texts, "")
         split = Split(pc.replace_substring_regex(texts, " ( *)", cut + r"\1"), cut)
         return split.without_first()
@@ -89,8 +94,8 @@ class ChunkTable:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the offsets of each text in them."""
-        if self.separable:
-            split = self.chunks(texts)
+        split = self.chunks(texts) if self.separable else None
+        if split is not None:
             index = self.learn(split.parts)[split.index]
             positions, ends = spread(self.lengths, index)
             ids, offsets = self.flat[positions], np.concatenate([[0], ends])[split.offsets]
