@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import embedding_join, gated_lm, html_text, language_id, line_quality, ngram_join, sentencepiece_codec, source_mixing, token_alignment, token_counts, token_store, vector_codes
+from wardline.llm import embedding_join, gated_lm, html_text, language_id, line_quality, ngram_join, private_spans, sentencepiece_codec, source_mixing, token_alignment, token_counts, token_store, vector_codes
 from wardline.llm.common import held_out, table
 from wardline.operators.store import workspace
 
@@ -243,3 +243,9 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between byte-level BPE tokens and SentencePiece pieces."""
     docs = table(spark, sf_dir, "documents")
     return token_alignment.align(docs, public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL))
+
+
+@query
+def op11_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: base patterns and the model's further spans."""
+    return private_spans.digest(private_spans.find_private(table(spark, sf_dir, "documents")))
