@@ -39,10 +39,12 @@ from wardline.operators.store import materialize
 
 MARK = "▁"
 BLOCK_BYTES = 4 << 20
-TABLE_CHUNKS = 200_000
+# Texts of a block are aligned so many bytes at a time, and encoded so many chunks at a time.
+STEP_BYTES, STEP_CHUNKS = 512 << 10, 1 << 13
+TABLE_CHUNKS = 100_000
 # Pairs are one number: A's id times this plus B's id.
 PAIR = 1 << 32
-_HASHED_TOKENS = 1 << 18
+_HASHED_TOKENS = 1 << 17
 
 
 class ByteTable:
@@ -90,7 +92,9 @@ class ByteLevel:
         self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        found: list[list[int]] = []
+        for at in range(0, len(texts), STEP_CHUNKS):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts[at : at + STEP_CHUNKS], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
 
@@ -317,6 +321,15 @@ def align_batch(texts: pa.Array, a: ByteLevel, b: Pieces, decimals: ByteTable) -
 _TEXTS = ("n_a", "n_b", "n_groups", "n_links", "n_pairs")
 
 
+def align_block(batch: pa.RecordBatch, a: ByteLevel, b: Pieces, decimals: ByteTable) -> dict:
+    """``align_batch`` of a block's texts, some at a time, with one dictionary of pairs."""
+    parts = [align_batch(text_array(step), a, b, decimals) for step in slices(iter([batch]), limit=STEP_BYTES)]
+    pairs = np.unique(np.concatenate([p["pairs"] for p in parts]))
+    index = np.concatenate([np.searchsorted(pairs, p["pairs"])[p["index"]] for p in parts])
+    out = {k: np.concatenate([p[k] for p in parts]) for k in (*_TEXTS, "times")}
+    return out | {"pairs": pairs, "index": index, "groups_sha256": list(chain.from_iterable(p["groups_sha256"] for p in parts))}
+
+
 def blocks(docs: DataFrame, byte_level: Shipped, pieces: Shipped) -> DataFrame:
     """One row per block of texts: its documents' numbers, their links, its dictionary."""
     schema = "doc_ids array<bigint>, groups_sha256 array<string>, index binary, times binary, pairs array<bigint>, totals array<bigint>"
@@ -326,7 +339,7 @@ def blocks(docs: DataFrame, byte_level: Shipped, pieces: Shipped) -> DataFrame:
         a, b = byte_level.get(), pieces.get()
         decimals = _Decimals(max(len(a.bytes.lengths), len(b.bytes.lengths)))
         for batch in slices(batches, limit=BLOCK_BYTES):
-            found = align_batch(text_array(batch), a, b, decimals)
+            found = align_block(batch, a, b, decimals)
             index = found["index"]
             # Ascending within a document: differences are small.
             starts = np.cumsum(found["n_pairs"]) - found["n_pairs"]
