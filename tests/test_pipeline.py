@@ -36,7 +36,7 @@ def test_pipeline_end_to_end(spark, warehouse, tmp_path):
     train, test = pipeline.build_model_rows(warehouse, SETTINGS)
     assert train.count() + test.count() == 900 and train.agg(F.max("admit_dt")).first()[0] < SETTINGS.split_date
     result = pipeline.train(
-        warehouse, SETTINGS, "1", tree_params=SMALL, forest_params={"numTrees": 10, "maxDepth": 4}, los_params=SMALL, cost_params=SMALL
+        warehouse, SETTINGS, "1", tree_params=SMALL, leafwise_params={"maxIter": 4, "numLeaves": 6}, los_params=SMALL, cost_params=SMALL
     )
     best = {r.model: r.auroc for r in result.metrics.collect()}
     assert best["ensemble_uncalibrated"] > 0.6

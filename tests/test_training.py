@@ -1,6 +1,4 @@
-import itertools
 import random
-from math import exp, factorial
 
 import numpy as np
 import pytest
@@ -10,8 +8,8 @@ from wardline.config import Settings
 from wardline.functions.features import HIGH_COST_TARGET, LOS_TARGET, TARGET
 from wardline.operators import explain, training
 
-SETTINGS = Settings(n_cv_folds=2, n_trials=2, max_depth=(2, 3), n_estimators=(3, 6))
-TREES, FOREST = {"maxIter": 8, "maxDepth": 3}, {"numTrees": 15, "maxDepth": 4}
+SETTINGS = Settings(n_cv_folds=2, n_trials=2, max_depth=(2, 3), n_estimators=(3, 6), num_leaves=(3, 6), leafwise_n_estimators=(2, 4))
+TREES, LEAFWISE = {"maxIter": 8, "maxDepth": 3}, {"maxIter": 10, "numLeaves": 6, "stepSize": 0.2}
 
 
 def rows(n, seed):
@@ -42,13 +40,13 @@ def sides(spark):
 @pytest.fixture(scope="module")
 def result(spark, sides, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("models"))
-    return training.train_readmission(*sides, root, "20090701_0000", SETTINGS, TREES, FOREST), root
+    return training.train_readmission(*sides, root, "20090701_0000", SETTINGS, TREES, LEAFWISE), root
 
 
 def test_ladder_learns_the_planted_signal(result):
     found = {r.model: r for r in result[0].metrics.collect()}
     assert set(found) == {
-        "logistic_regression_baseline", "boosted_trees", "random_forest", "ensemble_uncalibrated", "ensemble_calibrated",
+        "logistic_regression_baseline", "boosted_trees", "leafwise_trees", "ensemble_uncalibrated", "ensemble_calibrated",
     }
     assert all(r.auroc > 0.65 and r.n_samples == 800 for r in found.values())
     assert found["ensemble_calibrated"].brier_score < found["ensemble_uncalibrated"].brier_score
@@ -70,38 +68,6 @@ def test_saved_model_scores_the_same(spark, sides, result):
         training.latest_model_path(spark, root + "/none")
 
 
-def test_attributions_add_up_to_the_margin(spark, sides, result):
-    trained, root = result
-    path = training.latest_model_path(spark, root)
-    leaves = explain.read_leaves(spark, f"{path}/gbt", trained.model.gbt.treeWeights)
-    rows_ = training.prepare(sides[1], TARGET, "t")
-    scored = trained.model.gbt.transform(rows_).withColumn("parts", explain.tree_attributions(leaves, trained.model.names))
-    total = F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["value"])
-    for r in scored.select(total.alias("t"), training.positive("gbt_probability").alias("p")).collect():
-        margin = explain.base_value(leaves) + r.t
-        assert 1 / (1 + exp(-2 * margin)) == pytest.approx(r.p, abs=1e-9)
-
-
-def test_leaf_values_are_shapley_values():
-    leaf = explain.Leaf(2.0, (0, 2, 3), (-np.inf, 1.0, 0.0), (5.0, np.inf, 2.0), (0.5, 0.25, 0.8))
-    for x in ([4, 9, 2, 1], [6, 9, 2, 1], [6, 0, 0, 3]):
-        met = [leaf.above[i] < x[f] <= leaf.upto[i] for i, f in enumerate(leaf.features)]
-
-        def worth(known):
-            return leaf.value * np.prod([met[i] if i in known else leaf.cover[i] for i in range(3)])
-
-        phi = explain.leaf_attributions(np.array([x], dtype=float), [leaf])[0]
-        for i, f in enumerate(leaf.features):
-            others = [j for j in range(3) if j != i]
-            expected = sum(
-                factorial(len(s)) * factorial(2 - len(s)) / 6 * (worth({*s, i}) - worth(set(s)))
-                for k in range(3)
-                for s in itertools.combinations(others, k)
-            )
-            assert phi[f] == pytest.approx(expected)
-        assert phi[1] == 0
-
-
 def test_top_names_and_sample(spark):
     df = spark.createDataFrame([(1.0, -3.0, 3.0, 0.0)], "a double, b double, c double, d double")
     parts = explain.linear_attributions({"a": 1, "b": 1, "c": 1, "d": 1}, {n: 0.0 for n in "abcd"})
@@ -120,13 +86,13 @@ def test_isotonic_is_monotone_and_clips(spark):
     assert found == sorted(found) and found[0] == found[10] and found[-1] == found[40]
 
 
-def test_random_search(sides):
-    trials = training.draw_tree_params(SETTINGS, 2, 42)
-    assert trials == training.draw_tree_params(SETTINGS, 2, 42)
-    assert all(0.01 <= t["stepSize"] <= 0.3 and 2 <= t["maxDepth"] <= 3 for t in trials)
+def test_search_of_both_voters(sides):
     fit_rows = training.with_class_weight(training.prepare(sides[0], TARGET, "t"), TARGET)
-    best, score = training.random_search(lambda p: training.boosted_trees(params=p), fit_rows, trials, folds=2, parallelism=2)
-    assert best in trials and score > 0.6
+    first, second = training.search_params(fit_rows, SETTINGS)
+    assert first.score > 0.6 and second.score > 0.6
+    assert 2 <= first.best["maxDepth"] <= 3 and 0.01 <= first.best["stepSize"] <= 0.3
+    assert 3 <= second.best["numLeaves"] <= 6 and 2 <= second.best["maxIter"] <= 4
+    assert first.card()["trials_asked"] == first.card()["trials_run"] == 2
 
 
 def test_stay_and_cost_models(sides):

@@ -48,6 +48,13 @@ class Settings:
     n_estimators: tuple = (100, 1000)
     subsample: tuple = (0.6, 1.0)
     colsample: tuple = (0.6, 1.0)
+    num_leaves: tuple = (20, 150)
+    leafwise_learning_rate: tuple = (0.01, 0.3)
+    leafwise_n_estimators: tuple = (100, 1000)
+    leafwise_subsample: tuple = (0.6, 1.0)
+    leafwise_colsample: tuple = (0.6, 1.0)
+    leafwise_alpha: tuple = (0.0, 5.0)
+    leafwise_lambda: tuple = (0.0, 5.0)
 
     drift_mean_prob: float = 0.03
     drift_high_risk_pct: float = 5.0
@@ -110,6 +117,18 @@ def settings_from_dict(raw: dict) -> Settings:
     ):
         if key in space:
             values[name] = space[key]
+    second = model.get("lgbm_space", {})
+    for name, key in (
+        ("num_leaves", "num_leaves"),
+        ("leafwise_learning_rate", "learning_rate"),
+        ("leafwise_n_estimators", "n_estimators"),
+        ("leafwise_subsample", "subsample"),
+        ("leafwise_colsample", "colsample_bytree"),
+        ("leafwise_alpha", "reg_alpha"),
+        ("leafwise_lambda", "reg_lambda"),
+    ):
+        if key in second:
+            values[name] = second[key]
 
     tiers = raw.get("scoring", {}).get("risk_tiers", {})
     if "high" in tiers:

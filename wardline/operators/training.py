@@ -1,27 +1,23 @@
 """Risk models on ``pyspark.ml``: readmission ladder, stay regression, high cost.
 
-The ladder is: standardised logistic regression, gradient-boosted trees, a random
-forest, their soft vote, and isotonic calibration of the vote on a stratified
-hold-out. The second voter is a random forest because Spark has no leaf-wise
-booster. Matrices are written to the workspace before fitting: learners make many
+The ladder is: standardised logistic regression, gradient-boosted trees, leaf-wise
+boosted trees (``operators.boosting``, which Spark lacks), the soft vote of both, and
+isotonic calibration of the vote on a stratified hold-out. Matrices are written to the workspace before fitting: learners make many
 passes, and a lost executor must not replay the feature pipeline.
 """
 
 from __future__ import annotations
 
 import json
-import random
-import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
-    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -32,7 +28,6 @@ from pyspark.ml.regression import (
     IsotonicRegression,
     IsotonicRegressionModel,
 )
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,14 +39,10 @@ from wardline.functions.features import (
     TARGET,
     model_matrix,
 )
+from wardline.operators import boosting
+from wardline.operators.boosting import LeafwiseModel, LeafwiseTrees
 from wardline.operators.drift import score_baseline
-from wardline.operators.explain import (
-    attribution_sample,
-    global_ranking,
-    read_leaves,
-    top_names,
-    tree_attributions,
-)
+from wardline.operators.explain import attribution_sample, global_ranking, top_names
 from wardline.operators.labels import (
     stratified_folds,
     stratified_holdout,
@@ -59,7 +50,9 @@ from wardline.operators.labels import (
 )
 from wardline.operators.metrics import evaluate, evaluate_models, regression_metrics
 from wardline.operators.ordering import seeded_hash
+from wardline.operators.search import Bounds, SearchResult, search
 from wardline.operators.store import list_names, materialize, path_exists
+from wardline.operators.trees import read_forest, tree_attributions
 
 VECTOR, BLEND, PROB = "features", "blend", "readmission_prob"
 LOGISTIC_C, LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 1.0, 500, 1e-4
@@ -145,73 +138,58 @@ def fit_isotonic(df: DataFrame, label: str, score: str) -> IsotonicRegressionMod
 # --- search --------------------------------------------------------------------
 
 
-def draw_tree_params(settings: Settings, trials: int, seed: int) -> list[dict]:
-    """Seeded random draws inside the configured bounds; the learning rate is log-uniform."""
-    rng = random.Random(seed)
-    low, high = settings.learning_rate
-    return [
-        {
-            "maxDepth": rng.randint(*settings.max_depth),
-            "stepSize": low * (high / low) ** rng.random(),
-            "maxIter": rng.randint(*settings.n_estimators),
-            "subsamplingRate": rng.uniform(*settings.subsample),
-            "featureSubsetStrategy": f"{rng.uniform(*settings.colsample):.4f}",
-        }
-        for _ in range(trials)
-    ]
-
-
-def draw_forest_params(settings: Settings, trials: int, seed: int) -> list[dict]:
-    rng = random.Random(seed)
-    return [
-        {
-            "maxDepth": rng.randint(*settings.max_depth),
-            "numTrees": rng.randint(*settings.n_estimators),
-            "subsamplingRate": rng.uniform(*settings.subsample),
-            "featureSubsetStrategy": f"{rng.uniform(*settings.colsample):.4f}",
-        }
-        for _ in range(trials)
-    ]
-
-
-def random_search(
-    build: Callable[[Mapping], Estimator],
+def tree_space(settings: Settings) -> dict[str, Bounds]:
+    """Configured bounds of the gradient-boosted trees."""
+    return {
+        "maxDepth": Bounds(*settings.max_depth, "int"),
+        "stepSize": Bounds(*settings.learning_rate, "log"),
+        "maxIter": Bounds(*settings.n_estimators, "int"),
+        "subsamplingRate": Bounds(*settings.subsample),
+        "featureSubsetStrategy": Bounds(*settings.colsample),
+    }
+
+
+def leafwise_space(settings: Settings) -> dict[str, Bounds]:
+    """Configured bounds of the leaf-wise trees."""
+    return {
+        "numLeaves": Bounds(*settings.num_leaves, "int"),
+        "stepSize": Bounds(*settings.leafwise_learning_rate, "log"),
+        "maxIter": Bounds(*settings.leafwise_n_estimators, "int"),
+        "subsamplingRate": Bounds(*settings.leafwise_subsample),
+        "featureShare": Bounds(*settings.leafwise_colsample),
+        "alpha": Bounds(*settings.leafwise_alpha),
+        "lambda": Bounds(*settings.leafwise_lambda),
+    }
+
+
+def _tree_params(params: Mapping) -> dict:
+    """Search values as the library takes them."""
+    return {k: f"{v:.4f}" if k == "featureSubsetStrategy" else v for k, v in params.items()}
+
+
+def guided_search(
+    build: Callable[[Mapping], object],
+    space: Mapping[str, Bounds],
+    raw_score: str,
     train: DataFrame,
-    trials: Sequence[dict],
+    trials: int,
     folds: int = 5,
     seed: int = 42,
-    parallelism: int = 4,
     timeout_seconds: float = 3600,
     label: str = TARGET,
-) -> tuple[dict, float]:
-    """Best parameters by cross-validated AUROC over stratified folds.
+) -> SearchResult:
+    """Search ``space`` by cross-validated AUROC over stratified folds.
 
-    Trials run in groups of ``parallelism``; no new group starts after the timeout.
+    ``build`` makes a learner from parameters, whose models add the column ``raw_score``.
     """
     folded = materialize(stratified_folds(train, folds, label, seed=seed), "folds")
-    best: tuple[dict, float] = ({}, float("-inf"))
-    started = time.monotonic()
-    for first in range(0, len(trials), parallelism):
-        if first and time.monotonic() - started > timeout_seconds:
-            break
-        group = trials[first : first + parallelism]
-        estimator = build({})
-        maps = [{estimator.getParam(k): v for k, v in t.items()} for t in group]
-        evaluator = BinaryClassificationEvaluator(
-            labelCol=label, rawPredictionCol=estimator.getRawPredictionCol(), metricName="areaUnderROC"
-        )
-        validator = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=maps,
-            evaluator=evaluator,
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        for params, score in zip(group, validator.fit(folded).avgMetrics):
-            if score > best[1]:
-                best = (params, score)
-    return best
+    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw_score, metricName="areaUnderROC")
+
+    def evaluate(params: dict, fold: int) -> float:
+        model = build(params).fit(folded.where(F.col("fold") != fold))
+        return evaluator.evaluate(model.transform(folded.where(F.col("fold") == fold)))
+
+    return search(space, evaluate, trials, folds, seed, timeout_seconds)
 
 
 # --- readmission model ---------------------------------------------------------
@@ -222,17 +200,17 @@ class ReadmissionModel:
     """Two voters, their weights and the calibrator."""
 
     gbt: GBTClassificationModel
-    forest: RandomForestClassificationModel
+    leafwise: LeafwiseModel
     calibrator: IsotonicRegressionModel | None
     weights: tuple[float, float]
     names: tuple[str, ...]
 
     def blend(self, assembled: DataFrame) -> DataFrame:
         """Add the voters' probabilities and the soft vote."""
-        voted = self.forest.transform(self.gbt.transform(assembled))
+        voted = self.leafwise.transform(self.gbt.transform(assembled))
         return voted.withColumns(
-            {"gbt_prob": positive("gbt_probability"), "forest_prob": positive("forest_probability")}
-        ).withColumn(BLEND, soft_vote(F.col("gbt_prob"), F.col("forest_prob"), self.weights))
+            {"gbt_prob": positive("gbt_probability"), "leafwise_prob": F.col(boosting.PROBABILITY)}
+        ).withColumn(BLEND, soft_vote(F.col("gbt_prob"), F.col("leafwise_prob"), self.weights))
 
     def score(self, assembled: DataFrame) -> DataFrame:
         """Blend and calibrate; scores outside the calibrated range take its ends."""
@@ -242,7 +220,7 @@ class ReadmissionModel:
     def save(self, path: str) -> None:
         """Write the parts; the readable card comes last and marks the model complete."""
         self.gbt.write().overwrite().save(f"{path}/gbt")
-        self.forest.write().overwrite().save(f"{path}/forest")
+        self.leafwise.save(f"{path}/leafwise")
         self.calibrator.write().overwrite().save(f"{path}/calibrator")
         card = {"weights": list(self.weights), "names": list(self.names)}
         spark = SparkSession.getActiveSession()
@@ -254,7 +232,7 @@ class ReadmissionModel:
         card = json.loads(spark.read.text(f"{path}/card").first().value)
         return ReadmissionModel(
             GBTClassificationModel.load(f"{path}/gbt"),
-            RandomForestClassificationModel.load(f"{path}/forest"),
+            LeafwiseModel.load(spark, f"{path}/leafwise"),
             IsotonicRegressionModel.load(f"{path}/calibrator"),
             tuple(card["weights"]),
             tuple(card["names"]),
@@ -285,6 +263,7 @@ class TrainingResult:
     baseline: dict
     version: str
     path: str
+    search: tuple[dict, ...] = ()  # cards of the searches of the two voters
 
 
 def prepare(df: DataFrame, label: str, name: str) -> DataFrame:
@@ -303,21 +282,18 @@ def holdout_split(train: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
     return with_class_weight(split.where("is_holdout = 0"), TARGET), split.where("is_holdout = 1")
 
 
-def search_params(fit_rows: DataFrame, settings: Settings) -> tuple[dict, dict]:
-    """Random search of the tree and of the forest parameters."""
+def search_params(fit_rows: DataFrame, settings: Settings) -> tuple[SearchResult, SearchResult]:
+    """Guided search of the parameters of both voters."""
     seed = settings.random_state
-    found = []
-    for build, draw in ((boosted_trees, draw_tree_params), (random_forest, draw_forest_params)):
-        best, _ = random_search(
-            lambda p, build=build: build(seed=seed, params=p),
-            fit_rows,
-            draw(settings, settings.n_trials, seed),
-            settings.n_cv_folds,
-            seed,
-            timeout_seconds=settings.search_timeout_seconds,
-        )
-        found.append(best)
-    return found[0], found[1]
+    learners = (
+        (lambda p: boosted_trees(seed=seed, params=_tree_params(p)), tree_space(settings), "gbt_raw"),
+        (lambda p: LeafwiseTrees(TARGET, p, seed), leafwise_space(settings), boosting.PROBABILITY),
+    )
+    first, second = (
+        guided_search(*learner, fit_rows, settings.n_trials, settings.n_cv_folds, seed, settings.search_timeout_seconds)
+        for learner in learners
+    )
+    return first, second
 
 
 def fit_ensemble(
@@ -326,13 +302,13 @@ def fit_ensemble(
     names: Sequence[str],
     settings: Settings = Settings(),
     tree_params: Mapping | None = None,
-    forest_params: Mapping | None = None,
+    leafwise_params: Mapping | None = None,
 ) -> ReadmissionModel:
     """Both voters on the fit rows and the calibrator on the held-out rows."""
     seed = settings.random_state
     gbt = boosted_trees(seed=seed, params=tree_params).fit(fit_rows)
-    forest = random_forest(seed=seed, params=forest_params).fit(fit_rows)
-    draft = ReadmissionModel(gbt, forest, None, settings.ensemble_weights, tuple(names))
+    leafwise = LeafwiseTrees(TARGET, leafwise_params or {}, seed).fit(fit_rows)
+    draft = ReadmissionModel(gbt, leafwise, None, settings.ensemble_weights, tuple(names))
     calibrator = fit_isotonic(draft.blend(hold_rows).select(TARGET, BLEND), TARGET, BLEND)
     return replace(draft, calibrator=calibrator)
 
@@ -344,50 +320,54 @@ def train_readmission(
     version: str,
     settings: Settings = Settings(),
     tree_params: Mapping | None = None,
-    forest_params: Mapping | None = None,
+    leafwise_params: Mapping | None = None,
     search: bool = False,
 ) -> TrainingResult:
     """The model ladder: fit, evaluate each step on ``test``, save as ``root/v<version>``.
 
-    With ``search`` the tree and forest parameters come from random search. Metrics are
+    With ``search`` both voters' parameters come from guided search. Metrics are
     one row per model; the baseline holds what the drift check compares with.
     """
     names = feature_names(train)
     fit_rows, hold_rows = holdout_split(train, settings.random_state)
     test_rows = prepare(test, TARGET, "test")
+    cards: tuple[dict, ...] = ()
     if search:
-        tree_params, forest_params = search_params(fit_rows, settings)
+        found = search_params(fit_rows, settings)
+        tree_params, leafwise_params = _tree_params(found[0].best), found[1].best
+        cards = tuple({"learner": n, **f.card()} for n, f in zip(("boosted_trees", "leafwise_trees"), found))
 
     logistic = fit_logistic(fit_rows)
-    model = fit_ensemble(fit_rows, hold_rows, names, settings, tree_params, forest_params)
+    model = fit_ensemble(fit_rows, hold_rows, names, settings, tree_params, leafwise_params)
     path = f"{root}/v{version}"
     model.save(path)
 
     scored = logistic.transform(model.score(test_rows)).withColumn("logistic_prob", positive("logistic_probability"))
-    kept = ["claim_id", TARGET, VECTOR, "logistic_prob", "gbt_prob", "forest_prob", BLEND, PROB]
+    kept = ["claim_id", TARGET, VECTOR, "logistic_prob", "gbt_prob", "leafwise_prob", BLEND, PROB]
     scored = materialize(scored.select(*kept), "test-scores")
     steps = {
         "logistic_regression_baseline": "logistic_prob",
         "boosted_trees": "gbt_prob",
-        "random_forest": "forest_prob",
+        "leafwise_trees": "leafwise_prob",
         "ensemble_uncalibrated": BLEND,
         "ensemble_calibrated": PROB,
     }
     metrics = evaluate_models(scored, TARGET, steps)
     top = [r.feature for r in tree_ranking(scored, model, path, settings.random_state).collect()]
     base = score_baseline(scored, settings.tier_high).first().asDict()
-    return TrainingResult(model, metrics, {"version": version, **base, "top_features": top}, version, path)
+    return TrainingResult(model, metrics, {"version": version, **base, "top_features": top}, version, path, cards)
 
 
 def tree_ranking(assembled: DataFrame, model: ReadmissionModel, model_path: str, seed: int = 42) -> DataFrame:
     """Top features of the boosted trees by mean absolute attribution over a sample."""
-    leaves = read_leaves(assembled.sparkSession, f"{model_path}/gbt", model.gbt.treeWeights)
-    parts = attribution_sample(assembled, seed=seed).withColumn("parts", tree_attributions(leaves, model.names))
+    forest = read_forest(assembled.sparkSession, f"{model_path}/gbt", model.gbt.treeWeights)
+    parts = attribution_sample(assembled, seed=seed).withColumn("parts", tree_attributions(assembled, forest, model.names))
     return global_ranking(parts, {n: F.col("parts")[i]["value"] for i, n in enumerate(model.names)})
 
 
-def model_card(metrics: DataFrame, version: str, split_date: date) -> DataFrame:
-    """One row that records a model version: what it predicts and how it did."""
+def model_card(metrics: DataFrame, version: str, split_date: date, searches: Sequence[Mapping] = ()) -> DataFrame:
+    """One row that records a model version: what it predicts, how it did, and for each
+    search how many trials were asked for, run and given up, and whether time ran out."""
     results = F.sort_array(F.collect_list(F.struct(*metrics.columns))).alias("results")
     return metrics.agg(results).select(
         F.lit(version).alias("version"),
@@ -396,15 +376,16 @@ def model_card(metrics: DataFrame, version: str, split_date: date) -> DataFrame:
         F.lit(f"train: admitted before {split_date}, test: admitted from then on").alias("split"),
         F.lit("class weights").alias("class_imbalance_handling"),
         F.lit("isotonic regression on a stratified 20% hold-out").alias("calibration"),
+        F.lit(json.dumps(list(searches))).alias("searches"),
         "results",
     )
 
 
 def score_assembled(model: ReadmissionModel, assembled: DataFrame, model_path: str) -> DataFrame:
     """Calibrated probability and the top-3 features of the boosted-tree voter."""
-    leaves = read_leaves(assembled.sparkSession, f"{model_path}/gbt", model.gbt.treeWeights)
+    forest = read_forest(assembled.sparkSession, f"{model_path}/gbt", model.gbt.treeWeights)
     scored = model.score(assembled)
-    return scored.withColumn("top_features", top_names(tree_attributions(leaves, model.names)))
+    return scored.withColumn("top_features", top_names(tree_attributions(scored, forest, model.names)))
 
 
 # --- length of stay, high cost -------------------------------------------------
@@ -444,11 +425,16 @@ def train_los(train: DataFrame, test: DataFrame, seed: int = 42, params: Mapping
     return model, regression_metrics(scored, LOS_TARGET, "los_log_prediction", "los_boosted_trees"), scored
 
 
+def fit_high_cost(rows: DataFrame, seed: int = 42, params: Mapping | None = None) -> GBTClassificationModel:
+    """Boosted classifier of high cost on an assembled matrix, classes weighed."""
+    weighed = with_class_weight(rows, HIGH_COST_TARGET)
+    return boosted_trees(HIGH_COST_TARGET, seed, {**HIGH_COST_PARAMS, **(params or {})}).fit(weighed)
+
+
 def train_high_cost(train: DataFrame, test: DataFrame, seed: int = 42, params: Mapping | None = None):
     """(model, one metrics row, scored test rows) of the high-cost classifier."""
-    fit_rows = with_class_weight(prepare(train, HIGH_COST_TARGET, "cost-train"), HIGH_COST_TARGET)
     test_rows = prepare(test, HIGH_COST_TARGET, "cost-test")
-    model = boosted_trees(HIGH_COST_TARGET, seed, {**HIGH_COST_PARAMS, **(params or {})}).fit(fit_rows)
+    model = fit_high_cost(prepare(train, HIGH_COST_TARGET, "cost-train"), seed, params)
     scored = model.transform(test_rows).withColumn("high_cost_prob", positive("gbt_probability"))
     scored = materialize(scored.select("claim_id", HIGH_COST_TARGET, "high_cost_prob"), "cost-scores")
     return model, evaluate(scored, HIGH_COST_TARGET, "high_cost_prob", "high_cost_boosted_trees"), scored

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from wardline.config import NULL_THRESHOLDS, Settings
 from wardline.functions import coerce
 from wardline.functions import features as fx
-from wardline.operators import drift, explain, history, kpi, labels, metrics, ordering, quality, report, scoring, store, training
+from wardline.operators import boosting, drift, explain, history, kpi, labels, metrics, ordering, quality, report, scoring, store, training, trees
 from wardline.operators.normalize import (
     long_conditions,
     long_diagnoses,
@@ -860,17 +860,85 @@ def score_claims(job: Job) -> DataFrame:
     path = f"{_model_root(job)}/v1"
     model.save(path)
     scored = training.score_assembled(model, training.prepare(test, fx.TARGET, "score"), path)
+    scored = training.predict_los(training.fit_los(training.prepare(train, fx.LOS_TARGET, "los-train"), SEED), scored)
+    scored = scored.drop(*[c for c in scored.columns if c.startswith("gbt_")])
+    cost = training.fit_high_cost(training.prepare(train, fx.HIGH_COST_TARGET, "cost-train"), SEED)
+    scored = cost.transform(scored).withColumn("high_cost_prob", training.positive("gbt_probability"))
     return scoring.score_rows(scored, "1", F.lit(AS_OF))
 
 
+@query
+def model_leafwise_b(job: Job) -> DataFrame:
+    fit_rows, test_rows = _fit_rows(job)
+    scored = boosting.LeafwiseTrees(fx.TARGET).fit(fit_rows).transform(test_rows)
+    return scored.select("claim_id", fx.TARGET, F.col(boosting.PROBABILITY).alias("prob"))
+
+
+@query
+def model_checks(job: Job) -> DataFrame:
+    """What must hold for the fitted models on all test rows: rows checked and rows that fail."""
+    train, test = job.stored_sides
+    fit_rows, hold_rows = training.holdout_split(train, SEED)
+    names = training.feature_names(train)
+    model = training.fit_ensemble(fit_rows, hold_rows, names, SETTINGS)
+    path = f"{_model_root(job)}/v1"
+    model.save(path)
+    loaded = training.ReadmissionModel.load(job.spark, path)
+    rows = training.prepare(test, fx.TARGET, "check")
+    forest = trees.read_forest(job.spark, f"{path}/gbt", model.gbt.treeWeights)
+    parts = trees.tree_attributions(rows, forest, names)
+    total = F.aggregate(parts, F.lit(forest.base_value()), lambda s, p: s + p["value"])
+    scored = loaded.score(rows.withColumn("explained", total))
+    wanted = loaded.leafwise.forest
+    scored = scored.withColumn("sum_b", trees.tree_margin(rows, wanted) + F.lit(loaded.leafwise.base))
+    scored = store.materialize(
+        scored.select(
+            "claim_id", "explained", "sum_b", "gbt_prob", "leafwise_prob", training.BLEND, training.PROB,
+            training.vector_to_array("gbt_raw")[1].alias("margin_a"),
+        ),
+        "checked",
+    )
+    by_blend = scored.groupBy(training.BLEND).agg(F.min(training.PROB).alias("low"), F.max(training.PROB).alias("high"))
+    # Calibrated probabilities rise with the blend: the steps' order is the same on both.
+    steps = by_blend.groupBy("low").agg(F.min(training.BLEND).alias("first"), F.max(training.BLEND).alias("last"))
+    steps = steps.alias("s").join(steps.alias("t"), F.col("s.low") < F.col("t.low"))
+    crossed = steps.where(F.col("s.last") > F.col("t.first")).select(F.lit(1).alias("bad"))
+    near = {
+        "attributions_add_up": F.abs(F.col("explained") - F.col("margin_a")),
+        "gbt_is_the_sigmoid": F.abs(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("margin_a"))) - F.col("gbt_prob")),
+        "leafwise_is_the_sigmoid": F.abs(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("sum_b"))) - F.col("leafwise_prob")),
+        "blend_is_the_mean": F.abs((F.col("gbt_prob") + F.col("leafwise_prob")) / 2 - F.col(training.BLEND)),
+        "calibrated_is_a_share": F.when(F.col(training.PROB).between(0, 1), 0.0).otherwise(1.0),
+    }
+    counts = scored.agg(F.count("*").alias("rows"), *[F.count_if(~(gap < 1e-9) | gap.isNull()).alias(n) for n, gap in near.items()])
+    long = counts.unpivot(["rows"], list(near), "check_name", "failures")
+    rising = crossed.agg(F.count("*").alias("failures")).crossJoin(counts.select("rows"))
+    rising = rising.select("rows", F.lit("calibrated_rises").alias("check_name"), "failures")
+    return long.unionByName(rising).unionByName(_logistic_check(fit_rows, rows))
+
+
+def _logistic_check(fit_rows: DataFrame, test_rows: DataFrame) -> DataFrame:
+    """At the optimum the penalised gradient of every coefficient is zero."""
+    model = training.fit_logistic(fit_rows)
+    learner = model.stages[-1]
+    weights, strength = learner.coefficients.toArray(), 1.0 / (training.LOGISTIC_C * max(fit_rows.count(), 1))
+    scored = model.transform(fit_rows).select(
+        (training.positive("logistic_probability") - F.col(fx.TARGET)).alias("gap"), training.vector_to_array("scaled").alias("x")
+    )
+    slopes = [F.avg(F.col("gap") * F.col("x")[k]) for k in range(len(weights))]
+    gradient = scored.agg(F.avg("gap"), *slopes).first()
+    bad = sum(abs(g + strength * w) > 1e-3 for g, w in zip(gradient, [0.0, *weights]))
+    return test_rows.agg(F.count("*").alias("rows")).select("rows", F.lit("logistic_gradient_is_zero").alias("check_name"), F.lit(int(bad)).cast("bigint").alias("failures"))
+
+
 @query
 def top3_tree(job: Job) -> DataFrame:
     fit_rows, test_rows = _fit_rows(job)
     model = training.boosted_trees().fit(fit_rows)
     path = f"{_model_root(job)}/gbt"
     model.write().save(path)
-    leaves = explain.read_leaves(job.spark, path, model.treeWeights)
-    parts = explain.tree_attributions(leaves, training.feature_names(job.stored_sides[0]))
+    forest = trees.read_forest(job.spark, path, model.treeWeights)
+    parts = trees.tree_attributions(test_rows, forest, training.feature_names(job.stored_sides[0]))
     named = test_rows.select("claim_id", explain.top_names(parts).alias("top"))
     return named.select("claim_id", *[F.get("top", i).alias(f"top_{i + 1}") for i in range(3)])
 

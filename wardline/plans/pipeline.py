@@ -122,7 +122,7 @@ def train(
     version: str,
     search: bool = False,
     tree_params: dict | None = None,
-    forest_params: dict | None = None,
+    leafwise_params: dict | None = None,
     los_params: dict | None = None,
     cost_params: dict | None = None,
 ) -> training.TrainingResult:
@@ -138,9 +138,9 @@ def train(
     cost.write().overwrite().save(f"{base}/high_cost")
     store.write_json(cost_metrics, f"{base}/high_cost_metrics")
     result = training.train_readmission(
-        train_rows, test_rows, root, version, settings, tree_params, forest_params, search
+        train_rows, test_rows, root, version, settings, tree_params, leafwise_params, search
     )
-    store.write_json(training.model_card(result.metrics, version, settings.split_date), f"{base}/model_card")
+    store.write_json(training.model_card(result.metrics, version, settings.split_date, result.search), f"{base}/model_card")
     baseline = warehouse.spark.createDataFrame(
         [(version, result.baseline["mean_prob"], result.baseline["pct_high_risk"], result.baseline["top_features"])],
         "version string, mean_prob double, pct_high_risk double, top_features array<string>",
