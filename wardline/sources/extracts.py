@@ -1,18 +1,18 @@
 """Raw extracts: CSV files and zipped CSV files, every column read as text.
 
 Files are listed through Spark's own file source, so any Hadoop-compatible path
-works. Reading is grouped by distinct header: one scan per header, not per file.
+works. Headers are found in one pass over all files; reading is grouped by distinct
+header: one scan per header, not per file.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
+from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -24,6 +24,7 @@ from wardline.functions.coerce import (
     parse_dates,
 )
 from wardline.operators.store import first_per_key
+from wardline.sources.archives import csv_members, read_members
 from wardline.sources.columns import (
     BENEFICIARY_COLUMNS,
     BENEFICIARY_INTS,
@@ -31,11 +32,11 @@ from wardline.sources.columns import (
     CLAIM_INTS,
     raw_columns,
 )
+from wardline.sources.files import file_digests
+from wardline.sources.records import file_key, layout, read_records
 
 FILE_COL, BLOCK_COL, LINE_COL = "_file", "_block", "_line"
 POSITION_COLS = (FILE_COL, BLOCK_COL, LINE_COL)
-ZIP_ENCODING = "latin-1"
-ZIP_LINES_PER_BATCH = 10_000
 
 
 @dataclass(frozen=True)
@@ -63,8 +64,8 @@ def _named(paths: Iterable[str], word: str) -> list[str]:
     return [p for p in paths if word in p.rsplit("/", 1)[-1].lower()]
 
 
-def _by_header(headers: dict[str, tuple]) -> dict[tuple, list[str]]:
-    groups: dict[tuple, list[str]] = {}
+def _by_header(headers: dict[Any, tuple]) -> dict[tuple, list]:
+    groups: dict[tuple, list] = {}
     for path, header in headers.items():
         groups.setdefault(header, []).append(path)
     return groups
@@ -78,84 +79,43 @@ def union_extracts(frames: list[DataFrame]) -> DataFrame:
     return stacked
 
 
-def read_csv_text(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """CSV files as text columns plus the position of each row in its file."""
-    reader = spark.read.option("header", True).option("escape", '"')
-    headers = {p: tuple(reader.csv(p).columns) for p in paths}
-    frames = []
-    for header, group in _by_header(headers).items():
-        frames.append(
-            reader.option("enforceSchema", False)
-            .schema(_text_schema(header))
-            .csv(group)
-            .select(
-                "*",
-                F.col("_metadata.file_name").alias(FILE_COL),
-                F.col("_metadata.file_block_start").alias(BLOCK_COL),
-                F.monotonically_increasing_id().alias(LINE_COL),
-            )
-        )
-    return missing_texts_to_null(union_extracts(frames))
+def column_names(header: str) -> tuple[str, ...]:
+    """Names in a header record; nameless and repeated ones take their place as well."""
+    names = next(csv.reader(io.StringIO(header, newline="")), [])
+    return tuple(f"{n}{k}" if names.count(n) > 1 else n or f"_c{k}" for k, n in enumerate(names))
 
 
-def _zip_lines(path: str, content: bytes) -> Iterator[str]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        names = [n for n in archive.namelist() if n.lower().endswith(".csv")]
-        if not names:
-            raise ValueError(f"No CSV found in {path}")
-        with archive.open(names[0]) as member:
-            for line in io.TextIOWrapper(member, encoding=ZIP_ENCODING):
-                yield line.rstrip("\r\n")
+def _parsed(records: DataFrame, header: tuple[str, ...]) -> DataFrame:
+    """Records as text columns with their positions."""
+    row = F.from_csv("record", F.lit(_text_schema(header).toDDL()), {"escape": '"'})
+    name = F.element_at(F.split("path", "/"), -1)
+    return records.select(
+        row.alias("row"), name.alias(FILE_COL), F.col("block").alias(BLOCK_COL), F.col("number").alias(LINE_COL)
+    ).select("row.*", *POSITION_COLS)
 
 
-def _unzip_headers(batches):
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            yield pd.DataFrame({"path": [path], "header": [next(_zip_lines(path, content), "")]})
-
+def read_csv_text(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV files as text columns plus the position of each row in its file.
 
-def _unzip_lines(batches):
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            lines = _zip_lines(path, content)
-            next(lines, None)
-            rows: list[tuple] = []
-            for number, line in enumerate(lines):
-                rows.append((path, number, line))
-                if len(rows) == ZIP_LINES_PER_BATCH:
-                    yield pd.DataFrame(rows, columns=["path", "number", "line"])
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=["path", "number", "line"])
+    Quoted fields may hold line breaks; files are split all the same.
+    """
+    found = layout(spark, paths)
+    headers = {p: column_names(found.headers.get(file_key(p), "")) for p in paths}
+    frames = [_parsed(read_records(spark, group, found), header) for header, group in _by_header(headers).items()]
+    return missing_texts_to_null(union_extracts(frames))
 
 
 def read_zip_text(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First CSV of each ZIP archive as text columns plus row positions.
-
-    An archive cannot be split, so one task unzips one file; the lines stream out
-    in bounded batches and are parsed by the JVM.
-    """
-    archives = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    found = archives.mapInPandas(_unzip_headers, "path string, header string").collect()
-    headers = {r.path: tuple(next(csv.reader([r.header]), [])) for r in found}
+    """First CSV of each ZIP archive as text columns plus row positions."""
+    members = [m for m in csv_members(spark, paths) if m.place == 0]
+    without = [m.path for m in members if m.member is None]
+    if without:
+        raise ValueError(f"archive without a CSV member: {', '.join(without)}")
+    chosen = {(m.path, m.member): column_names(m.header) for m in members}
     frames = []
-    for header, group in _by_header(headers).items():
-        lines = (
-            spark.read.format("binaryFile")
-            .load(group)
-            .select("path", "content")
-            .mapInPandas(_unzip_lines, "path string, number bigint, line string")
-            .where(F.length("line") > 0)
-        )
-        parsed = F.from_csv("line", F.lit(_text_schema(header).toDDL()), {"escape": '"'})
-        frames.append(
-            lines.select(
-                parsed.alias("row"),
-                F.element_at(F.split("path", "/"), -1).alias(FILE_COL),
-                F.lit(0).cast("bigint").alias(BLOCK_COL),
-                F.col("number").alias(LINE_COL),
-            ).select("row.*", *POSITION_COLS)
-        )
+    for header, group in _by_header(chosen).items():
+        records = read_members(spark, group).withColumn("block", F.lit(0).cast("bigint"))
+        frames.append(_parsed(records, header))
     return missing_texts_to_null(union_extracts(frames))
 
 
@@ -181,13 +141,13 @@ def read_raw_extracts(spark: SparkSession, directory: str) -> tuple[DataFrame, D
     """Text rows of (beneficiaries, inpatient) of a directory; CSV files beat ZIPs."""
     csvs, zips = list_files(spark, directory, ".csv"), list_files(spark, directory, ".zip")
     if not csvs and not zips:
-        raise FileNotFoundError(f"No data files found in {directory}")
+        raise FileNotFoundError(f"{directory} holds neither CSV files nor ZIP archives")
     paths, read, kind = (csvs, read_csv_text, "CSV") if csvs else (zips, read_zip_text, "ZIP")
     frames = []
     for word, what in (("bene", "beneficiary"), ("inpatient", "inpatient")):
         group = _named(paths, word)
         if not group:
-            raise FileNotFoundError(f"No {what} {kind} found in {directory}")
+            raise FileNotFoundError(f"{directory} holds no {kind} of {what} rows")
         frames.append(read(spark, group))
     return frames[0], frames[1]
 
@@ -202,16 +162,12 @@ def load_extracts(spark: SparkSession, directory: str) -> ClaimsExtract:
 
 
 def verify_checksums(spark: SparkSession, directory: str, manifest: DataFrame) -> DataFrame:
-    """SHA-256 of each raw file against ``manifest(file_name, sha256)``.
+    """SHA-256 of each raw file, of any size, against ``manifest(file_name, sha256)``.
 
     ``status`` is ``ok``, ``mismatch``, or ``skipped`` for files not in the manifest.
     """
     name: Column = F.element_at(F.split("path", "/"), -1)
-    actual = (
-        spark.read.format("binaryFile")
-        .load(directory)
-        .select(name.alias("file_name"), F.sha2("content", 256).alias("actual_sha256"))
-    )
+    actual = file_digests(spark, directory).select(name.alias("file_name"), "actual_sha256")
     return actual.join(manifest, "file_name", "left").select(
         "file_name",
         "actual_sha256",
