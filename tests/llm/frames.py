@@ -55,4 +55,4 @@ def with_clashes(df):
     """Further columns, named like the operators' own."""
     from pyspark.sql import functions as F
 
-    return df.withColumns({c: F.lit(-1) for c in ("n_words", "row", "host", "kept", "block", "a", "b", "tokens", "label2")})
+    return df.withColumns({c: F.lit(-1) for c in ("n_words", "row", "host", "kept", "block", "a", "b", "tokens", "label2", "score", "lang_pred", "n_tokens", "factor", "expected", "copies", "m_source", "weight")})

@@ -275,9 +275,27 @@ def test_mixing_meets_the_targets_in_expectation(spark):
         for value, power in powered.items():
             share = held_tokens[value] / sum(held_tokens.values())
             assert share == pytest.approx(power / sum(powered.values()), abs=2e-3)
-    assert max(r["probability"] for r in found) == 1.0
-    kept = sum(r["kept"] for r in found)
-    assert abs(kept - sum(r["probability"] for r in found)) < 4 * math.sqrt(len(found))
+    scale = max(1 / max(r["factor"] for r in found), source_mixing.LEAST_SHARE)
+    assert all(r["expected"] == pytest.approx(r["factor"] * scale, abs=2e-6) for r in found)
+    assert all(r["kept"] == (r["copies"] > 0) and r["weight"] == 1.0 and abs(r["copies"] - r["expected"]) < 1 for r in found)
+    assert abs(sum(r["copies"] for r in found) - sum(r["expected"] for r in found)) < 4 * math.sqrt(len(found))
+
+
+def test_rounds_bring_the_residual_down(spark):
+    rows = source_mixing.described(frame(spark, [r for r in documents(300) if r[1]]))
+    worst = [max(c.residual for c in source_mixing.calibrate(rows, rounds=n).collect()) for n in (1, 3, 8)]
+    assert worst[2] <= worst[1] <= worst[0] and worst[2] < 2e-3
+
+
+def test_repeats_are_bounded_and_their_rest_is_a_weight(spark, monkeypatch):
+    monkeypatch.setattr(source_mixing, "MOST_COPIES", 2)
+    rows = [r for r in documents(300) if r[1]] + [(5000, "four words stand here", "xx", "stray", 21)]
+    df = frame(spark, rows)
+    found = {r.doc_id: r for r in source_mixing.mix_documents(df).collect()}
+    assert found[5000].copies == 2 and found[5000].weight > 1
+    assert found[5000].weight == pytest.approx(found[5000].expected / 2, abs=1e-5)
+    drawn = collections.Counter(r.doc_id for r in source_mixing.sample_documents(df).collect())
+    assert {i: r.copies for i, r in found.items() if r.copies} == dict(drawn)
 
 
 def test_mixing_takes_given_targets_and_edge_rows(spark):
@@ -288,8 +306,9 @@ def test_mixing_takes_given_targets_and_edge_rows(spark):
     assert all((c.factor > 0) == (c.m_source == "src0") for c in cells if c.tokens)
     assert source_mixing.mix_documents(frame(spark, rows)).count() == len(rows)
     assert source_mixing.mix_documents(frame(spark, [])).count() == 0
-    df = frame(spark, rows)
-    assert source_mixing.sample_documents(df).columns == df.columns
+    for df in (frame(spark, rows), with_clashes(frame(spark, rows))):
+        sample = source_mixing.sample_documents(df)
+        assert sample.columns == df.columns and sample.exceptAll(df).groupBy(*df.columns).count().join(df, df.columns, "left_anti").count() == 0
 
 
 def test_one_stray_cell_does_not_thin_out_the_sample(spark):

@@ -20,6 +20,7 @@ weights, by tokens, in a tree. The model's size is fixed; only it reaches the dr
 
 from __future__ import annotations
 
+import copy
 import heapq
 import math
 from collections.abc import Iterator
@@ -323,7 +324,8 @@ def _fit(blocks: DataFrame, model: Model) -> None:
         shared = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own, squares, seen = shared.value, {}, 0
+            # Workers keep the broadcast object for later tasks: its weights must stay as sent.
+            own, squares, seen = copy.copy(shared.value), {}, 0
             own.weights = {k: v.copy() for k, v in own.weights.items()}
             for batch in batches:
                 for row in batch.to_pylist():

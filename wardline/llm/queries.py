@@ -146,14 +146,19 @@ WITH d AS (
   SELECT c.source, c.lang, c.topic, c.tokens, c.w * CASE WHEN s.held > 0 THEN t.target / s.held ELSE 1 END AS w
   FROM c{step} c JOIN (SELECT {m}, sum(w) AS held FROM c{step} GROUP BY 1) s USING ({m}) JOIN t_{m} t USING ({m}))""")
             step += 1
+    most = source_mixing.MOST_COPIES
     parts.append(f""", f AS (
   SELECT source, lang, topic, CASE WHEN tokens > 0 THEN w * (SELECT total FROM total) / tokens END AS raw FROM c{step}
 ), p AS (
   SELECT source, lang, topic, coalesce(raw, 1) AS factor,
-    least(coalesce(raw, 1) / (SELECT max(raw) FROM f), 1) AS probability FROM f)
-SELECT doc_id, source, lang, topic, n_tokens, round(factor, 6) AS factor, round(probability, 6) AS probability,
-  ('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT / {1 << 52}.0::DOUBLE < probability AS kept
-FROM d JOIN p USING (source, lang, topic)""")
+    coalesce(raw, 1) * greatest(1 / (SELECT max(raw) FROM f), {source_mixing.LEAST_SHARE}::DOUBLE) AS expected FROM f
+), n AS (
+  SELECT *, least(expected, {most}::DOUBLE) AS e,
+    ('0x' || substr(md5('mix:' || doc_id), 1, 13))::BIGINT / {1 << 52}.0::DOUBLE AS u FROM d JOIN p USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, n_tokens, round(factor, 6) AS factor, round(expected, 6) AS expected,
+  (floor(e) + CASE WHEN u < e - floor(e) THEN 1 ELSE 0 END)::BIGINT AS copies,
+  round(greatest(expected / {most}::DOUBLE, 1::DOUBLE), 6) AS weight, floor(e) + CASE WHEN u < e - floor(e) THEN 1 ELSE 0 END > 0 AS kept
+FROM n""")
     return "".join(parts)
 
 

@@ -2,25 +2,26 @@
 
 Documents fall into cells (source, language, topic). Raking multiplies the cells' token
 weights in turn so that the sums by source, by language and by topic meet their targets.
-A cell's factor, weight over tokens, divided by the largest factor is the probability with
-which each of its documents is kept, so expected token shares are the targets and no
-probability is cut. The draw is a hash of the document's id: it repeats on every run.
+A cell's factor, weight over tokens, times a scale is the expected number of copies of each
+of its documents, so expected token shares are the targets. The draw is a hash of the
+document's id: it repeats on every run.
 
-The sample of ``sample_documents`` does not shrink with the rarest cell: where the largest
-factor would leave less than ``LEAST_SHARE`` of the tokens, the factors are scaled to that
-share, and a document with an expectation above 1 is repeated: its whole copies, and one
-more by the draw of the fraction. Expected shares of the cells stay the same.
+The scale brings the largest factor to 1 where the sample then holds ``LEAST_SHARE`` of the
+tokens, else it is that share: one rare cell does not thin out the sample. A document with
+an expectation above 1 is repeated, at most ``MOST_COPIES`` times; ``weight`` carries what
+that bound cuts off (1 without a cut).
 
 The cell table is far smaller than the corpus: one pass over the documents builds it, with
-map-side combine, and the rounds run on it. Each round is written and read back, so plans
-stay short and a lost executor repeats one round at most.
+map-side combine, and the rounds run on it: a window sums the weights of each value of a
+margin beside its cells, so a step is one shuffle of that table and no join. A few rounds
+at a time are written and read back, so plans stay short and a lost executor repeats little.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.store import materialize
@@ -31,6 +32,10 @@ POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 ROUNDS = 8
 # Share of the tokens that a sample holds at least, in expectation.
 LEAST_SHARE = 0.5
+# A document is repeated so often at most.
+MOST_COPIES = 16
+# Rounds between two writes of the cell table.
+ROUNDS_WRITTEN = 4
 WORDS = r"[^\x20\x09-\x0D]+"
 # First match wins; patterns over the whole text, whatever the case of A-Z.
 TOPICS = (("legal", "licen[cs]e|copyright|rights reserved"), ("contact", "@|phone|www[.]"), ("numeric", "[0-9]{4}"))
@@ -64,34 +69,43 @@ def default_targets(cells: DataFrame, margin: str) -> DataFrame:
     return powered.select(f"m_{margin}", (F.col("power") / F.lit(total or 1.0)).alias("target"))
 
 
+def _held(margin: str) -> Column:
+    """Weight of all cells that share this cell's value of a margin."""
+    return F.sum("weight").over(Window.partitionBy(f"m_{margin}"))
+
+
 def calibrate(rows: DataFrame, targets: Mapping[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """Cells of ``described`` rows with ``tokens, factor, probability``.
+    """Cells of ``described`` rows with ``tokens, factor, expected, residual``.
 
     ``targets`` may give, by margin, a table ``m_<margin>, target``; a value it lacks is not
-    wanted and gets weight 0. Cells without tokens keep the factor 1, cut to the largest.
+    wanted and gets weight 0. Cells without tokens keep the factor 1. ``expected`` copies are
+    the factor times the scale. ``residual`` is how far, at most, the sums of the cell's own
+    source, language and topic are from their targets after the last round.
     """
     keys = [f"m_{m}" for m in MARGINS]
     cells = materialize(rows.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
-    share = {
-        m: (targets or {}).get(m) if m in (targets or {}) else materialize(default_targets(cells, m), f"mix-{m}")
-        for m in MARGINS
-    }
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
     state = cells.withColumn("weight", F.col("tokens") / F.lit(total))
+    for m in MARGINS:
+        given = (targets or {}).get(m)
+        wanted = (default_targets(cells, m) if given is None else given).select(f"m_{m}", F.col("target").alias(f"t_{m}"))
+        state = state.join(wanted, f"m_{m}", "left").withColumn(f"t_{m}", F.coalesce(f"t_{m}", F.lit(0.0)))
+    state = materialize(state, "mix-round")
     for number in range(rounds):
         for m in MARGINS:
-            sums = state.groupBy(f"m_{m}").agg(F.sum("weight").alias("held"))
-            ratio = sums.join(share[m], f"m_{m}", "left").select(
-                f"m_{m}", F.when(F.col("held") > 0, F.coalesce("target", F.lit(0.0)) / F.col("held")).alias("ratio")
-            )
-            state = state.join(ratio, f"m_{m}").select(
-                *keys, "tokens", (F.col("weight") * F.coalesce("ratio", F.lit(1.0))).alias("weight")
-            )
-        state = materialize(state, f"mix-round-{number}")
+            held = state.withColumn("held", _held(m))
+            ratio = F.when(F.col("held") > 0, F.col(f"t_{m}") / F.col("held")).otherwise(1.0)
+            state = held.withColumn("weight", F.col("weight") * ratio).drop("held")
+        if (number + 1) % ROUNDS_WRITTEN == 0 or number + 1 == rounds:
+            state = materialize(state, "mix-round")
+    off = F.greatest(*[F.abs(_held(m) - F.col(f"t_{m}")) for m in MARGINS])
     factor = F.when(F.col("tokens") > 0, F.col("weight") * total / F.col("tokens"))
-    top = state.agg(F.max(factor)).first()[0] or 1.0
-    found = state.select(*keys, "tokens", F.coalesce(factor, F.lit(1.0)).alias("factor"))
-    return found.withColumn("probability", F.least(F.col("factor") / F.lit(top), F.lit(1.0)))
+    found = materialize(state.select(*keys, "tokens", factor.alias("factor"), off.alias("residual")), "mix-factors")
+    top = found.agg(F.max("factor")).first()[0] or 1.0
+    # Tokens times factors sum to all tokens, so a scale of the factors is the share kept.
+    scale = max(1.0 / top, LEAST_SHARE)
+    factor = F.coalesce("factor", F.lit(1.0))
+    return found.select(*keys, "tokens", factor.alias("factor"), (factor * F.lit(scale)).alias("expected"), "residual")
 
 
 def draw(seed: str = "mix") -> Column:
@@ -100,41 +114,45 @@ def draw(seed: str = "mix") -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint") / F.lit(_UNIT)
 
 
+def copies() -> Column:
+    """How often the draw keeps a document: whole copies, and one more by the fraction."""
+    bounded = F.least(F.col("expected"), F.lit(float(MOST_COPIES)))
+    whole = F.floor(bounded)
+    return whole + (draw() < bounded - whole).cast("bigint")
+
+
 def mix(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """``described`` rows with ``factor``, ``probability`` and ``kept``, the draw's outcome."""
+    """``described`` rows with ``factor, expected, weight`` and ``copies``, the outcome."""
     keys = [f"m_{m}" for m in MARGINS]
-    joined = rows.join(cells.select(*keys, "factor", "probability"), keys)
-    return joined.withColumn("kept", draw() < F.col("probability"))
+    joined = rows.join(cells.select(*keys, "factor", "expected"), keys)
+    return joined.withColumns({"copies": copies(), "weight": F.greatest(F.col("expected") / F.lit(float(MOST_COPIES)), F.lit(1.0))})
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, lang, topic, n_tokens, factor, probability, kept`` of every document.
+    """``doc_id, source, lang, topic, n_tokens, factor, expected, copies, weight, kept`` of
+    every document.
 
     Repeated rows share their draw. An empty table gives no rows.
     """
     narrow = described(docs.select("doc_id", "text", "source", "lang")).drop("text", "source", "lang")
     rows = materialize(narrow, "mix-documents")
     found = mix(rows, calibrate(rows))
+    rounded = [F.round(c, 6).alias(c) for c in ("factor", "expected")]
     return found.select(
-        "doc_id", *[F.col(f"m_{m}").alias(m) for m in MARGINS], "n_tokens",
-        F.round("factor", 6).alias("factor"), F.round("probability", 6).alias("probability"), "kept",
+        "doc_id", *[F.col(f"m_{m}").alias(m) for m in MARGINS], "n_tokens", *rounded, "copies",
+        F.round("weight", 6).alias("weight"), (F.col("copies") > 0).alias("kept"),
     )
 
 
-def copies(cells: DataFrame) -> DataFrame:
-    """Cells with ``expected``, the expected number of copies of each of their documents.
+def sample_documents(docs: DataFrame) -> DataFrame:
+    """The documents that the draw keeps, as often as it does; columns unchanged.
 
-    Tokens times factors sum to all tokens, so a scale of the factors is the share kept.
+    Repeats are rows with the same ``doc_id``; the weights beyond ``MOST_COPIES`` are those
+    of ``mix_documents``.
     """
-    return cells.withColumn("expected", F.greatest("probability", F.col("factor") * LEAST_SHARE))
-
-
-def sample_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the draw keeps, as often as it does; columns unchanged."""
-    rows = described(docs)
+    # The rows as they came, apart from the columns made here.
+    rows = described(docs.select(F.struct(*docs.columns).alias("m_row"), "doc_id", "text", "source", "lang"))
     keys = [f"m_{m}" for m in MARGINS]
-    cells = copies(calibrate(rows.select(*keys, "n_tokens")))
-    whole = F.floor("expected")
-    count = (whole + (draw() < F.col("expected") - whole).cast("bigint")).cast("int")
-    drawn = rows.join(cells.select(*keys, "expected"), keys).withColumn("m_copies", count).where("m_copies > 0")
-    return drawn.select(*docs.columns, F.explode(F.array_repeat(F.lit(True), F.col("m_copies"))).alias("m_copy")).select(*docs.columns)
+    cells = calibrate(rows.select(*keys, "n_tokens"))
+    drawn = rows.join(cells.select(*keys, "expected"), keys).select("m_row", copies().cast("int").alias("m_copies"))
+    return drawn.where("m_copies > 0").select("m_row", F.explode(F.array_repeat(F.lit(True), F.col("m_copies")))).select("m_row.*")
