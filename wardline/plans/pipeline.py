@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import Settings
 from wardline.functions import features as fx
-from wardline.operators import drift, history, kpi, labels, quality, report, scoring, store, training
+from wardline.operators import audit, drift, history, kpi, labels, quality, report, scoring, store, training
 from wardline.operators.normalize import (
     long_conditions,
     long_diagnoses,
@@ -26,7 +26,9 @@ from wardline.operators.normalize import (
     normalize_claims,
     with_all_columns,
 )
-from wardline.sources.columns import BENEFICIARY_COLUMNS, CLAIM_COLUMNS
+from wardline.operators.store import write_json
+from wardline.sources import extracts
+from wardline.sources.columns import BENEFICIARY_COLUMNS, BENEFICIARY_INTS, CLAIM_COLUMNS, CLAIM_INTS, raw_columns
 from wardline.sources.extracts import ClaimsExtract
 
 
@@ -48,8 +50,44 @@ class Warehouse:
         return df
 
 
-def validate(extract: ClaimsExtract, settings: Settings, report_path: str) -> bool:
-    """Abort on nulls in critical columns; write the report; True when all tables pass."""
+def contracts(settings: Settings) -> tuple[audit.Contract, audit.Contract]:
+    """What the settings expect of the beneficiary and the inpatient extract."""
+    dates = [raw_columns(spec, "date") for spec in (BENEFICIARY_COLUMNS, CLAIM_COLUMNS)]
+    amounts = [raw_columns(spec, "decimal") for spec in (BENEFICIARY_COLUMNS, CLAIM_COLUMNS)]
+    bene = audit.Contract(
+        "beneficiaries", "DESYNPUF_ID", [*dates[0], *BENEFICIARY_INTS, *amounts[0]], settings.critical_beneficiaries,
+        {}, quality.beneficiary_rules(), audit.contract_ranges(settings.ranges, BENEFICIARY_COLUMNS), amounts[0],
+    )
+    claims = audit.Contract(
+        "inpatient", "CLM_ID", [*dates[1], *CLAIM_INTS, *amounts[1]], settings.critical_inpatient,
+        settings.null_thresholds, quality.inpatient_rules(), audit.contract_ranges(settings.ranges, CLAIM_COLUMNS), amounts[1],
+    )
+    return bene, claims
+
+
+def stage(directory: str, warehouse: Warehouse, settings: Settings) -> tuple[ClaimsExtract, DataFrame]:
+    """Parse the raw files once: typed tables as a checkpoint, and the checks of that pass.
+
+    Validation and loading read the checkpoint. The checks cover all rows of the files, also
+    those that repeat a key, of which the extract keeps the first.
+    """
+    spark = warehouse.spark
+    raw = extracts.read_raw_extracts(spark, directory)
+    typed, checks = [], []
+    for rows, convert, contract in zip(raw, (extracts.type_beneficiaries, extracts.type_inpatient), contracts(settings)):
+        table, found = audit.write_audited(rows, convert, contract, warehouse.path(f"staging/{contract.table}"))
+        typed.append(table)
+        checks += found + audit.key_checks(table, contract)
+    checks += audit.reference_checks(typed[1], typed[0], "DESYNPUF_ID", "inpatient", "beneficiaries")
+    return extracts.first_of_each(*typed), audit.checks_table(spark, checks)
+
+
+def validate(extract: ClaimsExtract, settings: Settings, report_path: str, checks: DataFrame | None = None) -> bool:
+    """Abort on nulls in critical columns; write the report; True when all tables pass.
+
+    ``checks`` of ``stage`` are part of the report: what was counted, in per cent, and
+    against which limit.
+    """
     bene, claims = extract.beneficiaries, extract.inpatient
     quality.check_critical(bene, settings.critical_beneficiaries, "beneficiaries")
     quality.check_critical(claims, settings.critical_inpatient, "inpatient")
@@ -63,6 +101,8 @@ def validate(extract: ClaimsExtract, settings: Settings, report_path: str) -> bo
     failures = quality.failure_cases(bene, bene_rules, "DESYNPUF_ID", "beneficiaries").unionByName(
         quality.failure_cases(claims, claim_rules, "CLM_ID", "inpatient")
     )
+    if checks is not None:
+        write_json(checks, f"{report_path}/checks")
     return quality.write_validation_report(summary, failures, report_path)
 
 

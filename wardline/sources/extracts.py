@@ -152,13 +152,15 @@ def read_raw_extracts(spark: SparkSession, directory: str) -> tuple[DataFrame, D
     return frames[0], frames[1]
 
 
+def first_of_each(beneficiaries: DataFrame, inpatient: DataFrame) -> ClaimsExtract:
+    """Typed rows with their positions, reduced to the first row of each key."""
+    return ClaimsExtract(_keep_first(beneficiaries, "DESYNPUF_ID"), _keep_first(inpatient, "CLM_ID"))
+
+
 def load_extracts(spark: SparkSession, directory: str) -> ClaimsExtract:
     """Read, type and de-duplicate (first row per key) all extracts of a directory."""
     beneficiaries, inpatient = read_raw_extracts(spark, directory)
-    return ClaimsExtract(
-        beneficiaries=_keep_first(type_beneficiaries(beneficiaries), "DESYNPUF_ID"),
-        inpatient=_keep_first(type_inpatient(inpatient), "CLM_ID"),
-    )
+    return first_of_each(type_beneficiaries(beneficiaries), type_inpatient(inpatient))
 
 
 def verify_checksums(spark: SparkSession, directory: str, manifest: DataFrame) -> DataFrame:
