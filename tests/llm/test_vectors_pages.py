@@ -80,6 +80,16 @@ PAGE = "<html><head><title>T</title><style>p{}</style></head><body><nav><a>Home<
         ("<article>&lt;b&gt; &eacute;&#233;&#x1F642; &nbsp; &unknown; a&b</article>", "<b> éé🙂 &unknown; a&b"),
         ("<article><!-- never closed", ""),
         ("", ""),
+        ("<article class='post with-sidebar'><p>whole</p></article>", "whole"),
+        ("<main class='content has-comments'><p>a</p><div class='comments'>no</div></main>", "a"),
+        ("<div class='page-sidebar'><p>side</p><article><p>inside</p></article></div>", "inside"),
+        ("<article>a</article><section class='comments'><article class='comment'>c</article></section>", "a"),
+        ("<article>a</article><article class='related'>r</article>", "a"),
+        ("<article><p title=it's>one</p><p>it's two</p></article>", "one it's two"),
+        ("<article><p title='a>b'>one</p><p data-x=\"</p>\">two</p></article>", "one two"),
+        ("<article>1 < 2 and 3<4 <5</article>", "1 < 2 and 3<4 <5"),
+        ("<article><p a=\"never closed>one</p><p>two</p></article>", "one two"),
+        ("<article>a<!DOCTYPE x>b<?php y ?>c</article>", "abc"),
     ],
 )
 def test_main_text(spark, body, expected):
@@ -88,6 +98,18 @@ def test_main_text(spark, body, expected):
     assert (row.text, row.n_chars) == (expected, len(expected))
 
 
+@pytest.mark.parametrize(
+    "piece", ["<a ", "<p a=\"b", "<p a='b\"", "<b>", "</i>", "<!", "<?", "<!--", "<a \">\" ", "<p a=\"b>x", "<", "<div class='nav'>", "<p =", "< / ", "<script>", "a='"],
+)
+def test_broken_markup_takes_little_time(piece):
+    import time
+
+    for text in (piece * (400_000 // len(piece)), "<b>" * 60_000 + piece * 60_000, "<a " + piece * 100_000 + ">"):
+        started = time.perf_counter()
+        html_text.blocks(text)
+        assert time.perf_counter() - started < 5
+
+
 def test_repeated_runs_go_where_markup_does_not_vouch(spark):
     from pyspark.sql import functions as F
 

@@ -56,61 +56,136 @@ _DROP_NAMES = frozenset(
     " masthead footer comment comments disqus respond replies related recommended share sharing social subscribe"
     " subscription newsletter signup login search widget toolbar pagination pager".split()
 )
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NAME = re.compile(r"[A-Za-z0-9]+")
+# Of these, the names of parts that hold other people's texts: an article inside one is not
+# the page's. An article inside any other part that a class names is.
+_FOREIGN_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments disqus"
+    " respond replies related recommended widget newsletter".split()
+)
+# A class that begins so says what a part has or lacks, not what it is.
+_MODIFIERS = frozenset("with has have no not without show hide is".split())
+_COMMENT, _NAME = re.compile(r"<!--.*?(?:-->|\Z)", re.S), re.compile(r"[A-Za-z0-9]+")
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+# One attribute: a name and, behind a sign of equality, a quoted or a bare value. A quote
+# that is never closed is part of a bare value.
+_ATTRIBUTE = re.compile(r"[\s/]*(?:(=?[^\s/>=]+|=)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?)?")
+# Inside a part dropped for its class, which an article or the main part may interrupt.
+_SOFT = 3
+
 
+def _attributes(html: str, at: int) -> tuple[int, dict[str, str]]:
+    """Attributes of a tag from behind its name, and where it ends; -1 where it never does.
 
-def _zone(tag: str, attributes: str) -> int | None:
-    """Zone that an element opens, None where it keeps that of its parent."""
-    if tag in _DROP_TAGS:
+    The first of several values of a name counts.
+    """
+    found: dict[str, str] = {}
+    size = len(html)
+    while at < size:
+        match = _ATTRIBUTE.match(html, at)
+        if match[1]:
+            found.setdefault(match[1].lower(), unescape(match[2] or match[3] or match[4] or ""))
+        at = match.end()
+        if html.startswith(">", at):
+            return at + 1, found
+    return -1, found
+
+
+def _names(value: str, whole: bool) -> set[str]:
+    """Names in a class or an id; parts of hyphened names count unless ``whole``."""
+    out = set()
+    for name in value.lower().split():
+        parts = _NAME.findall(name)
+        if len(parts) == 1:
+            out.add(parts[0])
+        elif parts and not whole and parts[0] not in _MODIFIERS:
+            out.update(parts)
+    return out
+
+
+def _zone(tag: str, found: dict[str, str], outer: int) -> int | None:
+    """Zone that an element opens inside ``outer``, None where it keeps that one."""
+    role = found.get("role", "").lower()
+    main = tag == "main" or role == "main"
+    hidden = "hidden" in found or found.get("aria-hidden") == "true"
+    hidden = hidden or "display:none" in found.get("style", "").replace(" ", "").lower()
+    if tag in _DROP_TAGS or tag not in ("html", "body") and (hidden or role in _DROP_ROLES):
         return DROPPED
-    main = tag in ("article", "main")
-    if attributes and not attributes.isspace():
-        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-        role = found.get("role", "").lower()
-        names = {n.lower() for n in _NAME.findall(f"{found.get('class', '')} {found.get('id', '')}")}
-        hidden = "hidden" in found or found.get("aria-hidden") == "true"
-        hidden = hidden or "display:none" in found.get("style", "").replace(" ", "").lower()
-        if tag not in ("html", "body") and (hidden or role in _DROP_ROLES or names & _DROP_NAMES):
+    if tag in ("html", "body"):
+        return None
+    if main or tag == "article":
+        names = _names(f"{found.get('class', '')} {found.get('id', '')}", True)
+        if not main and names & _FOREIGN_NAMES:
             return DROPPED
-        main = main or role == "main"
-    return ARTICLE if main else None
+        return ARTICLE
+    names = _names(f"{found.get('class', '')} {found.get('id', '')}", False) & _DROP_NAMES
+    if not names:
+        return None
+    return DROPPED if names & _FOREIGN_NAMES or outer == DROPPED else _SOFT
 
 
 def blocks(html: str) -> list[tuple[str, int]]:
     """Text blocks of a page, white space runs as one space, with their zones.
 
-    Never fails: unclosed elements end with their parent, stray end tags are ignored, an
-    unclosed comment or script reaches to the end of the page.
+    Takes time in proportion to the page, whatever its markup. Never fails: unclosed elements
+    end with their parent, stray end tags are ignored, an unclosed comment or script reaches
+    to the end of the page, what looks like a tag but has no end is text. Once a tag runs to
+    the end of the page, quotes in later tags no longer hide a ``>``.
     """
     found: list[tuple[str, int]] = []
     parts: list[str] = []
     stack: list[tuple[str, int]] = []
-    zone, at, size = OPEN, 0, len(html)
+    opened: dict[str, int] = {}  # how many elements of a name are open
+    zone, at, size, quotes = OPEN, 0, len(html), True
+    last_end = html.rfind(">")
 
     def close() -> None:
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
         if text:
-            found.append((text, zone))
+            found.append((text, DROPPED if zone == _SOFT else zone))
+
+    def leave() -> int:
+        name, outer = stack.pop()
+        opened[name] -= 1
+        return outer
 
     while at < size:
-        match = _MARKUP.search(html, at)
+        start = html.find("<", at)
+        if start < 0 or start > last_end and not html.startswith("<!--", start):
+            # No tag can end any more, but a comment may still begin.
+            start = html.find("<!--", at)
+            if start < 0:
+                parts.append(html[at:])
+                break
+        parts.append(html[at:start])
+        if html.startswith("<!--", start):
+            at = _COMMENT.match(html, start).end()
+            continue
+        if html.startswith(("<!", "<?"), start):
+            at = html.find(">", start) + 1
+            continue
+        match = _TAG.match(html, start)
         if match is None:
-            parts.append(html[at:])
-            break
-        parts.append(html[at : match.start()])
-        at = match.end()
-        if match[2] is None:
+            parts.append("<")
+            at = start + 1
             continue
+        at, attributes = _attributes(html, match.end()) if quotes else (-1, {})
+        if at < 0:
+            quotes = False
+            at = html.find(">", match.end()) + 1
+            if not at:  # no tag ends behind this one's name
+                parts.append("<")
+                at = start + 1
+                continue
+            attributes = _attributes(html[match.end() : at - 1] + ">", 0)[1]
         tag = match[2].lower()
         if match[1]:
-            if any(name == tag for name, _ in stack):
+            if opened.get(tag):
                 if tag not in _INLINE_TAGS:
                     close()
                 while True:
-                    name, outer = stack.pop()
+                    name = stack[-1][0]
+                    outer = leave()
                     if outer != zone:
                         close()
                         zone = outer
@@ -119,22 +194,24 @@ def blocks(html: str) -> list[tuple[str, int]]:
             elif tag not in _INLINE_TAGS:
                 close()
             continue
-        opened = _zone(tag, match[3])
         # A paragraph cannot hold another block, an item not the next item.
         if tag not in _INLINE_TAGS:
             close()
             if stack and stack[-1][0] in ("p", "li") and (stack[-1][0] == "p" or tag == "li"):
-                zone = stack.pop()[1]
+                zone = leave()
         if tag in _RAW_TAGS:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
             at = end.end() if end else size
             continue
-        if tag in _VOID_TAGS or match[3].endswith("/") and tag not in ("p", "div", "article", "main"):
+        if tag in _VOID_TAGS or html.startswith("/>", at - 2) and tag not in ("p", "div", "article", "main"):
             continue
-        inner = zone if opened is None or zone == DROPPED else opened
+        inner = _zone(tag, attributes, zone) if zone != DROPPED else None
+        if inner is None or zone == ARTICLE and inner == OPEN:
+            inner = zone
         if inner != zone:
             close()
         stack.append((tag, zone))
+        opened[tag] = opened.get(tag, 0) + 1
         zone = inner
     close()
     return found
