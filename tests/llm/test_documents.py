@@ -91,7 +91,7 @@ def brute_frequent(rows, least):
             for line in text.split("\n"):
                 if norm(line):
                     holders[norm(line)].add(doc_id)
-        frequent[host] = {x: min(ids) for x, ids in holders.items() if len(ids) > max(least, 0.1 * len(known))}
+        frequent[host] = {x: min(ids) for x, ids in holders.items() if len(ids) > (min(4, least) if len(x.split()) >= 50 else least)}
     return frequent
 
 

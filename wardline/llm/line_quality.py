@@ -2,14 +2,10 @@
 
 Lines are normalised (A-Z lower-cased, white space runs as one space) and hashed. Per host
 the distinct texts with a line are counted, so exact copies count once. A line in more than
-``max(MIN_TEXTS, MAX_SHARE x the host's distinct texts)`` of them is above the limits: it
-is removed from the host's documents, except from the one with the lowest id, which keeps
-it. A document is depleted when fewer than ``MIN_LEFT_WORDS`` words, or less than
-``MIN_LEFT_SHARE`` of its words, remain.
-
-``clean``, the pipeline's stage, has limits that do not grow with the host: more than
-``MIN_TEXTS`` distinct texts, or more than ``LONG_TEXTS`` for lines of ``LONG_WORDS`` words.
-``judge`` keeps the limit above, which its query's SQL names.
+``MIN_TEXTS`` of them, or more than ``LONG_TEXTS`` where it has ``LONG_WORDS`` words, is above
+the limits: it is removed from the host's documents, except from the one with the lowest id,
+which keeps it. The limits do not grow with the host. A document is depleted when fewer than
+``MIN_LEFT_WORDS`` words, or less than ``MIN_LEFT_SHARE`` of its words, remain.
 
 Counting aggregates (host, line, text) with map-side combine; a line that a third of all
 documents have is one row per text, and its count is a sum. The lines above the limits
@@ -35,7 +31,6 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_TEXTS = 50
-MAX_SHARE = 0.1
 LONG_WORDS = 50
 LONG_TEXTS = 4
 MIN_LEFT_WORDS = 10
@@ -112,31 +107,27 @@ def statistics(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", host, "text").mapInArrow(run, schema)
 
 
-def frequent_lines(stats: DataFrame, absolute: bool = False) -> DataFrame:
-    """``host, line, first_doc_id`` of the lines above their host's limits, or the ``absolute`` ones."""
+def frequent_lines(stats: DataFrame) -> DataFrame:
+    """``host, line, first_doc_id`` of the lines above the limits."""
     texts = stats.groupBy("host", "text_hash").agg(F.min("doc_id").alias("doc_id"), F.first("lines").alias("lines"))
     lines = texts.select("host", "doc_id", F.inline("lines"))
     counted = lines.groupBy("host", "line").agg(
         F.count("*").alias("n_texts"), F.min("doc_id").alias("first_doc_id"), F.max("size").alias("size")
     )
-    if absolute:
-        most = F.when(F.col("size") >= LONG_WORDS, min(LONG_TEXTS, MIN_TEXTS)).otherwise(MIN_TEXTS)
-        return counted.where(F.col("n_texts") > most).select("host", "line", "first_doc_id")
-    limits = texts.groupBy("host").agg(F.greatest(F.lit(MIN_TEXTS), F.count("*") * MAX_SHARE).alias("most"))
-    frequent = counted.where(F.col("n_texts") > MIN_TEXTS).join(limits, "host")
-    return frequent.where(F.col("n_texts") > F.col("most")).select("host", "line", "first_doc_id")
+    most = F.when(F.col("size") >= LONG_WORDS, min(LONG_TEXTS, MIN_TEXTS)).otherwise(MIN_TEXTS)
+    return counted.where(F.col("n_texts") > most).select("host", "line", "first_doc_id")
 
 
 def judge(docs: DataFrame, keep_lines: bool = False) -> DataFrame:
     """Verdicts: ``doc_id``, statistics, ``n_left_words, base_failed, kept``.
 
-    With ``keep_lines`` the limits are the absolute ones, and there are also ``text_hash`` and ``removed``, the
-    hashes of the lines to remove, for ``clean``. Null and empty texts have no words and fail. A null source is a
-    host of its own. Repeated rows are judged each; an empty table gives no rows.
+    With ``keep_lines`` there are also ``host, text_hash`` and ``removed``, the hashes of the
+    lines to remove, for ``clean``. Null and empty texts have no words and fail. A null source
+    is a host of its own. Repeated rows are judged each; an empty table gives no rows.
     """
     stats = materialize(statistics(docs).withColumn("row_id", F.monotonically_increasing_id()), "line-statistics")
     exploded = stats.select("row_id", "doc_id", "host", F.inline("lines"))
-    joined = exploded.join(frequent_lines(stats, keep_lines), ["host", "line"])
+    joined = exploded.join(frequent_lines(stats), ["host", "line"])
     hit = joined.where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
     removed = hit.groupBy("row_id").agg(
         F.sum(F.col("n_words")).alias("n_removed"), F.sort_array(F.collect_set("line")).alias("removed")

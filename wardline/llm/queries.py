@@ -80,12 +80,11 @@ WITH d AS (
   GROUP BY 1
 ), texts AS (
   SELECT host, t, min(doc_id) AS doc_id FROM d GROUP BY 1, 2
-), most AS (
-  SELECT host, greatest({line_quality.MIN_TEXTS}, count(*) * {line_quality.MAX_SHARE}) AS m FROM texts GROUP BY 1
 ), freq AS (
   SELECT r.host, norm, min(r.doc_id) AS first_id
-  FROM real_line r JOIN texts USING (host, doc_id) JOIN most USING (host)
-  GROUP BY r.host, norm, m HAVING count(DISTINCT r.doc_id) > m
+  FROM real_line r JOIN texts USING (host, doc_id)
+  GROUP BY r.host, norm
+  HAVING count(DISTINCT r.doc_id) > CASE WHEN max(n) >= {line_quality.LONG_WORDS} THEN {line_quality.LONG_TEXTS} ELSE {line_quality.MIN_TEXTS} END
 ), gone AS (
   SELECT r.doc_id, sum(n) AS n FROM real_line r JOIN freq f ON r.host = f.host AND r.norm = f.norm
   WHERE r.doc_id <> first_id GROUP BY 1
