@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,6 +109,45 @@ def quantile_table(df: DataFrame, column: str, fraction: float) -> DataFrame:
     return ends.select((F.col("lower") + (F.col("upper") - F.col("lower")) * share).alias("value"))
 
 
+def grouped_quantile(df: DataFrame, keys: Sequence[str], column: str, fraction: float) -> DataFrame:
+    """Exact linear-interpolated quantile of each group: the keys and ``value``.
+
+    Two passes over the rows for all groups together. Sketches bracket each group's quantile
+    further apart than their error; then the rows below are counted, and the values inside
+    (some of a per mille of a large group) are grouped and ranked. A group without values has
+    a null.
+    """
+    keys = list(keys)
+    rows = df.select(*keys, F.col(column).cast("double").alias("value"))
+    accuracy = round(1 / QUANTILE_ERROR)
+    probes = [max(fraction - 2 * QUANTILE_ERROR, 0.0), min(fraction + 2 * QUANTILE_ERROR, 1.0)]
+    sketched = F.percentile_approx("value", probes, accuracy)
+    brackets = rows.groupBy(*keys).agg(F.count("value").alias("n"), sketched.alias("probed"))
+    position = F.lit(fraction) * (F.col("n") - 1)
+    # A bracket is open at the ends of the order, and where so few rows lie between its
+    # probes that rounding of ranks could matter.
+    many = F.col("n") >= 10 * accuracy
+    low = F.when(many & (F.lit(probes[0]) > 0), F.get("probed", 0)).otherwise(F.lit(float("-inf")))
+    high = F.when(many & (F.lit(probes[1]) < 1), F.get("probed", 1)).otherwise(F.lit(float("inf")))
+    brackets = brackets.select(*[F.col(k).alias(f"k_{k}") for k in keys], "n", position.alias("at"), low.alias("low"), high.alias("high"))
+    brackets = materialize(brackets, "quantile-brackets")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys])
+    placed = rows.where("value IS NOT NULL").join(brackets, same).where("value <= high")
+    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
+    counted = placed.groupBy(*[f"k_{k}" for k in keys], "at", inside.alias("value")).agg(F.count("*").alias("copies"))
+    # Nulls are the rows below the bracket: they come first.
+    order = Window.partitionBy(*[f"k_{k}" for k in keys]).orderBy(F.col("value").asc_nulls_first())
+    ranked = counted.withColumn("last", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    ends = ranked.groupBy(*[f"k_{k}" for k in keys], "at").agg(
+        F.min(F.when(F.col("last") >= F.floor("at"), F.col("value"))).alias("lower"),
+        F.min(F.when(F.col("last") >= F.ceil("at"), F.col("value"))).alias("upper"),
+    )
+    value = F.col("lower") + (F.col("upper") - F.col("lower")) * (F.col("at") - F.floor("at"))
+    found = ends.select(*[F.col(f"k_{k}").alias(f"e_{k}") for k in keys], value.alias("value"))
+    again = reduce(lambda x, y: x & y, [F.col(f"k_{k}").eqNullSafe(F.col(f"e_{k}")) for k in keys])
+    return brackets.join(found, again, "left").select(*[F.col(f"k_{k}").alias(k) for k in keys], "value")
+
+
 def exact_quantile(df: DataFrame, column: str, fraction: float) -> float | None:
     """The quantile as a number: a fitted constant (one row leaves the executors)."""
     return quantile_table(df, column, fraction).first()[0]

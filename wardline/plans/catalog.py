@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from wardline.config import NULL_THRESHOLDS, Settings
 from wardline.functions import coerce
 from wardline.functions import features as fx
-from wardline.operators import boosting, drift, explain, history, kpi, labels, metrics, ordering, quality, report, scoring, store, training, trees
+from wardline.operators import boosting, drift, explain, history, kpi, kpi_days, labels, metrics, ordering, quality, refresh, report, scoring, store, training, trees
 from wardline.operators.normalize import (
     long_conditions,
     long_diagnoses,
@@ -478,13 +478,9 @@ def target_encode_text(job: Job) -> DataFrame:
 
 @query
 def quantile_by_month(job: Job) -> DataFrame:
-    """Exact 80 % quantile of the payments of small slices: one month each, of one year."""
-    paid = job.claims.where(F.year("admit_dt") == 1997).select(F.month("admit_dt").alias("month"), "claim_pmt_amt")
-    slices = [
-        ordering.quantile_table(paid.where(F.col("month") == m), "claim_pmt_amt", 0.8).select(F.lit(m).alias("month"), "value")
-        for m in range(1, 13)
-    ]
-    return reduce(DataFrame.unionByName, slices)
+    """Exact 80 % quantile of the payments of each month of each year."""
+    paid = job.claims.select(F.year("admit_dt").alias("year"), F.month("admit_dt").alias("month"), "claim_pmt_amt")
+    return ordering.grouped_quantile(paid, ["year", "month"], "claim_pmt_amt", 0.8)
 
 
 @query
@@ -687,7 +683,9 @@ def kpi_upsert(job: Job) -> DataFrame:
     month = F.last_day("admit_dt")
     old = kpi.kpi_snapshot(job.kpi_rows.where(F.col("admit_dt") < F.lit(UPSERT_CUT)), month)
     new = kpi.kpi_snapshot(job.kpi_rows.where(F.col("admit_dt") >= F.lit(SPLIT)), month)
-    return store.upsert(old, new, store.KPI_KEY)
+    root = f"{store.workspace(job.spark)}/wardline/kpis-{uuid.uuid4().hex}"
+    store.write_kpis(old, root)
+    return store.write_kpis(new, root)
 
 
 @query
@@ -770,6 +768,32 @@ def kpi_lookback(job: Job) -> DataFrame:
     return kpi.kpi_snapshot(kpi.lookback(job.kpi_rows, AS_OF, SETTINGS.snapshot_lookback_days), F.lit(AS_OF))
 
 
+@query
+def kpi_from_days(job: Job) -> DataFrame:
+    """KPIs of the whole history and of a lookback, merged from the daily state alone."""
+    state = store.materialize(kpi_days.daily_state(job.kpi_rows), "kpi-days")
+    parts = [
+        kpi_days.snapshot_from_days(state, AS_OF, days).withColumn("days", F.lit(days).cast("int"))
+        for days in (None, SETTINGS.snapshot_lookback_days, 365)
+    ]
+    return reduce(DataFrame.unionByName, parts).drop("median_los_days")
+
+
+@query
+def features_by_batches(job: Job) -> DataFrame:
+    """The feature view after three batches of claims that arrive out of order."""
+    root = f"{store.workspace(job.spark)}/wardline/features-{uuid.uuid4().hex}"
+    arrives = F.pmod(F.xxhash64("claim_id"), F.lit(3))
+    claims = store.materialize(job.claims.withColumn("arrives", arrives), "claims-by-batch")
+    for number in range(3):
+        seen = claims.where(F.col("arrives") <= number).drop("arrives")
+        view = refresh.refresh((claims.where(F.col("arrives") == number),), (seen, job.beneficiaries, job.conditions), root)
+    return view.select(
+        "claim_id", "bene_id", "admit_dt", "age_at_admit", "los_days", "died_within_30d", "elixhauser_count",
+        "prior_admits_90d", "prior_admits_365d", "days_since_last_admit",
+    )
+
+
 @query
 def provider_table(job: Job) -> DataFrame:
     return report.provider_table(job.scores, job.features)

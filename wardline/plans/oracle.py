@@ -203,6 +203,8 @@ _HISTORY = (
 )
 _KPI_OUT = f"{_d('snapshot_date', 'snapshot_date')}, provider_id, metric_name, {_r('metric_value', 'metric_value')}"
 _AS_OF = "DATE '2001-08-05'"
+# Number, condition on the day and the lookback's days.
+_LOOKBACKS = ((0, "", "NULL"), (1, f" AND admit_dt > {_AS_OF} - 30", "30"), (2, f" AND admit_dt > {_AS_OF} - 365", "365"))
 _SPLIT = "DATE '1998-04-17'"
 _CUT = "DATE '2000-01-01'"
 
@@ -534,9 +536,8 @@ _BODIES: dict[str, str] = {
     "target_encode_text": ", labt AS (SELECT *, 'patient-' || CAST(CAST(bene_id AS BIGINT) * 100003 AS VARCHAR) AS category FROM lab)"
     + _encoding("labt").replace("drg_cd", "category")
     + f"SELECT claim_id, category, {_r(_ENCODED.replace('drg_cd', 'category'), 'encoded')} FROM labt t",
-    "quantile_by_month": "SELECT CAST(m AS INTEGER) AS month, "
-    + _r("(SELECT quantile_cont(CAST(claim_pmt_amt AS DOUBLE), 0.8) FROM claims WHERE year(admit_dt) = 1997 AND month(admit_dt) = m)", "value")
-    + " FROM range(1, 13) r(m)",
+    "quantile_by_month": "SELECT CAST(year(admit_dt) AS INTEGER) AS year, CAST(month(admit_dt) AS INTEGER) AS month, "
+    + f"{_r('quantile_cont(CAST(claim_pmt_amt AS DOUBLE), 0.8)', 'value')} FROM claims GROUP BY 1, 2",
     "stratified_holdout": f"SELECT claim_id, readmitted_30d, CAST(rk <= floor(sz * CAST(0.2 AS DOUBLE)) AS INTEGER) AS is_holdout FROM ({_STRATA})",
     "stratified_folds": f"SELECT claim_id, readmitted_30d, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM ({_STRATA})",
     "class_weights": "SELECT count(*) FILTER (WHERE readmitted_30d = 0) AS negatives, count(*) FILTER (WHERE readmitted_30d = 1) AS positives, "
@@ -627,6 +628,10 @@ _BODIES: dict[str, str] = {
     "kpi_rollup": f", kw AS ({_kpi_wide('scores', _AS_OF)}) SELECT {_d('snapshot_date', 'snapshot_date')}, provider_id, {_join(_r(n, n) for n in _KPI_SQL)} FROM kw",
     "kpi_latest": _HISTORY + f"SELECT metric_name, {_r('metric_value', 'metric_value')} FROM kh WHERE provider_id = 'ALL' AND snapshot_date = (SELECT max(snapshot_date) FROM kh)",
     "kpi_lookback": f", kw AS ({_kpi_wide(f'(SELECT * FROM scores WHERE admit_dt > {_AS_OF} - 30 AND admit_dt <= {_AS_OF})', _AS_OF)}), kh AS ({_kpi_long('kw')}) SELECT {_KPI_OUT} FROM kh",
+    "kpi_from_days": ", " + ", ".join(f"kd{n} AS ({_kpi_wide(f'(SELECT * FROM scores WHERE admit_dt <= {_AS_OF}{w})', _AS_OF)})" for n, w, _ in _LOOKBACKS)
+    + " SELECT " + f"{_d('snapshot_date', 'snapshot_date')}, provider_id, {_join(_r(n, n) for n in _KPI_SQL if n != 'median_los_days')}, days FROM ("
+    + " UNION ALL ".join(f"SELECT *, CAST({days} AS INTEGER) AS days FROM kd{n}" for n, _, days in _LOOKBACKS) + ")",
+    "features_by_batches": f"SELECT {_plain(['claim_id', 'bene_id', 'admit_dt', 'age_at_admit', 'los_days', 'died_within_30d', 'elixhauser_count', 'prior_admits_90d', 'prior_admits_365d', 'days_since_last_admit'])} FROM pf",
     "provider_table": _PROVIDERS + " LIMIT 20",
     "tier_chart_data": f"SELECT provider_id, high_pct, medium_pct, low_pct FROM ({_PROVIDERS} LIMIT 10)",
     "kpi_status": _HISTORY + f"SELECT {_KPI_OUT}, CASE WHEN metric_name = 'readmission_rate_30d' THEN CASE WHEN metric_value > CAST(0.15 AS DOUBLE) THEN 'danger' WHEN metric_value > CAST(0.11 AS DOUBLE) THEN 'warn' ELSE 'good' END "
