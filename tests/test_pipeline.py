@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests import data
 from wardline.config import Settings
-from wardline.operators import report, store
+from wardline.operators import kpi_store, report, store
 from wardline.plans import pipeline
 from wardline.sources.extracts import load_extracts
 from wardline.streaming.kpi_stream import start_kpi_stream
@@ -75,7 +75,7 @@ def test_kpi_stream_upserts_and_alerts(spark, tmp_path):
             spark.readStream.schema(ddl).parquet(source), kpis, alerts, str(tmp_path / "cp"), lambda: date(2009, 1, 9)
         )
         stream.awaitTermination(120)
-    assert [r.metric_value for r in store.read_kpis(spark, kpis).collect()] == [2.0]
+    assert [r.metric_value for r in kpi_store.read_kpis(spark, kpis).collect()] == [2.0]
     assert spark.read.parquet(alerts).count() == 1
 
 

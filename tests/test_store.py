@@ -3,7 +3,7 @@ from datetime import date
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from wardline.operators import store
+from wardline.operators import kpi_store, store
 
 SCORE = "claim_id string, bene_id string, readmission_prob double, risk_tier string, model_version string, scored_at date, readmission_label int"
 
@@ -46,10 +46,10 @@ def test_kpi_rerun_keeps_absent_keys_and_other_dates(spark, tmp_path):
     root = str(tmp_path / "kpi")
     ddl = "snapshot_date date, provider_id string, metric_name string, metric_value double"
     d1, d2 = date(2009, 1, 1), date(2009, 1, 2)
-    store.write_kpis(spark.createDataFrame([(d1, "A", "m", 1.0), (d1, "B", "m", 2.0), (d2, "A", "m", 3.0)], ddl), root)
+    kpi_store.write_kpis(spark.createDataFrame([(d1, "A", "m", 1.0), (d1, "B", "m", 2.0), (d2, "A", "m", 3.0)], ddl), root)
     for _ in range(2):
-        store.write_kpis(spark.createDataFrame([(d1, "A", "m", 7.0), (d1, "C", "m", 8.0)], ddl), root)
-    found = {(r.snapshot_date, r.provider_id): r.metric_value for r in store.read_kpis(spark, root).collect()}
+        kpi_store.write_kpis(spark.createDataFrame([(d1, "A", "m", 7.0), (d1, "C", "m", 8.0)], ddl), root)
+    found = {(r.snapshot_date, r.provider_id): r.metric_value for r in kpi_store.read_kpis(spark, root).collect()}
     assert found == {(d1, "A"): 7.0, (d1, "B"): 2.0, (d1, "C"): 8.0, (d2, "A"): 3.0}
 
 

@@ -8,7 +8,6 @@ a job lost half-way leaves the previous version current.
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Sequence
 
@@ -19,9 +18,6 @@ from pyspark.sql.types import StructType
 RISK_SCORE_KEY = "claim_id"
 # Columns an existing risk score takes from a newer run.
 RISK_SCORE_UPDATED = ("readmission_prob", "risk_tier", "model_version", "scored_at")
-KPI_DDL = "snapshot_date date, provider_id string, metric_name string, metric_value double"
-WRITTEN_AT = "written_at"
-KPI_KEY = ("snapshot_date", "provider_id", "metric_name")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -143,31 +139,6 @@ def append_new(batch: DataFrame, root: str, keys: Sequence[str], order) -> DataF
     return reader.parquet(root)
 
 
-def write_kpis(new: DataFrame, root: str) -> DataFrame:
-    """Upsert KPI rows as an append; returns the merged view (``read_kpis``).
-
-    Nothing already written is replaced, so readers and lost jobs never see a partition
-    half rewritten, and writing the same batch again changes nothing.
-    """
-    spark = new.sparkSession
-    # Above every number written before, also where this driver's clock is behind.
-    newest = written_kpis(spark, root).agg(F.max(WRITTEN_AT)).first()[0] if path_exists(spark, root) else None
-    stamped = new.withColumn(WRITTEN_AT, F.lit(max(time.time_ns(), (newest or 0) + 1)))
-    stamped.write.mode("append").partitionBy("snapshot_date").parquet(root)
-    return read_kpis(new.sparkSession, root)
-
-
-def written_kpis(spark: SparkSession, root: str) -> DataFrame:
-    """All KPI rows as written, older writings of a key included."""
-    return spark.read.schema(StructType.fromDDL(f"{KPI_DDL}, {WRITTEN_AT} bigint")).parquet(root)
-
-
-def read_kpis(spark: SparkSession, root: str) -> DataFrame:
-    """KPI rows, the newest writing of each key. Filters on the date prune partitions."""
-    written = written_kpis(spark, root)
-    return written.groupBy(*KPI_KEY).agg(F.max_by("metric_value", WRITTEN_AT).alias("metric_value"))
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, empty text for nulls and ISO dates."""
     (

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from wardline.config import NULL_THRESHOLDS, Settings
 from wardline.functions import coerce
 from wardline.functions import features as fx
-from wardline.operators import boosting, drift, explain, history, kpi, kpi_days, labels, metrics, ordering, quality, refresh, report, scoring, store, training, trees
+from wardline.operators import boosting, drift, explain, history, kpi, kpi_days, kpi_store, labels, metrics, ordering, quality, refresh, report, scoring, store, training, trees
 from wardline.operators.normalize import (
     long_conditions,
     long_diagnoses,
@@ -684,8 +684,8 @@ def kpi_upsert(job: Job) -> DataFrame:
     old = kpi.kpi_snapshot(job.kpi_rows.where(F.col("admit_dt") < F.lit(UPSERT_CUT)), month)
     new = kpi.kpi_snapshot(job.kpi_rows.where(F.col("admit_dt") >= F.lit(SPLIT)), month)
     root = f"{store.workspace(job.spark)}/wardline/kpis-{uuid.uuid4().hex}"
-    store.write_kpis(old, root)
-    return store.write_kpis(new, root)
+    kpi_store.write_kpis(old, root)
+    return kpi_store.write_kpis(new, root)
 
 
 @query

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import Settings
 from wardline.functions import features as fx
-from wardline.operators import audit, drift, history, kpi, labels, quality, report, scoring, store, training
+from wardline.operators import audit, drift, history, kpi, kpi_store, labels, quality, report, scoring, store, training
 from wardline.operators.normalize import (
     long_conditions,
     long_diagnoses,
@@ -226,7 +226,7 @@ def snapshot_kpis(warehouse: Warehouse, settings: Settings, as_of: date, days: i
     root = warehouse.path("analytics/kpi_snapshots")
     alerts_root = warehouse.path("analytics/pipeline_alerts")
     if store.path_exists(warehouse.spark, root):
-        raise_if_stale(store.written_kpis(warehouse.spark, root), alerts_root, as_of, settings)
+        raise_if_stale(kpi_store.written_kpis(warehouse.spark, root), alerts_root, as_of, settings)
     rows = kpi.kpi_input(
         warehouse.current("analytics/risk_scores"),
         warehouse.read("claims/inpatient_claims"),
@@ -234,8 +234,8 @@ def snapshot_kpis(warehouse: Warehouse, settings: Settings, as_of: date, days: i
     )
     if days is not None:
         rows = kpi.lookback(rows, as_of, days)
-    written = store.write_kpis(kpi.kpi_snapshot(rows, F.lit(as_of), settings.national_avg_los_days), root)
-    raise_if_stale(store.written_kpis(warehouse.spark, root), alerts_root, as_of, settings)
+    written = kpi_store.write_kpis(kpi.kpi_snapshot(rows, F.lit(as_of), settings.national_avg_los_days), root)
+    raise_if_stale(kpi_store.written_kpis(warehouse.spark, root), alerts_root, as_of, settings)
     return written
 
 
@@ -253,7 +253,7 @@ def weekly_report(warehouse: Warehouse, as_of: date) -> dict[str, DataFrame]:
     """The datasets of the weekly report."""
     scores = warehouse.current("analytics/risk_scores")
     features = warehouse.current("analytics/patient_features")
-    kpis = store.read_kpis(warehouse.spark, warehouse.path("analytics/kpi_snapshots"))
+    kpis = kpi_store.read_kpis(warehouse.spark, warehouse.path("analytics/kpi_snapshots"))
     path = training.latest_model_path(warehouse.spark, warehouse.path("models"))
     columns = report.report_header(F.lit(as_of), F.lit(as_of), path.rsplit("/v", 1)[-1])
     return {

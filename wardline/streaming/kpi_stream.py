@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.operators.store import write_kpis
+from wardline.operators.kpi_store import write_kpis
 from wardline.plans.pipeline import raise_if_stale
 
 
