@@ -399,3 +399,12 @@ def test_scores_without_training_rows(spark):
 
 def test_schema_is_the_documents_one():
     assert DOCS.startswith("doc_id bigint, text string")
+
+
+def test_training_twice_gives_the_same_scores(spark):
+    """Workers of the first run live on in the second one: nothing of it may stay in them."""
+    df = frame(spark, documents(60)).coalesce(1)
+    one, two = (
+        {r.doc_id: r.score for r in gated_lm.score_documents(df, held_out("doc_id", 5, 1)).collect()} for _ in range(2)
+    )
+    assert one == two and len(set(one.values())) > 20
