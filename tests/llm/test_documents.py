@@ -201,6 +201,7 @@ def family_rows(copies=90):
 def test_components_equal_brute_force(spark, monkeypatch, limit):
     monkeypatch.setattr(ngram_join, "LONG_LIST", limit)
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 32)
+    monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", 2000 * limit)
     rows = family_rows()
     df = with_clashes(frame(spark, [*rows, rows[5]])).repartition(5)
     found = ngram_join.link_components(df).collect()
@@ -210,6 +211,31 @@ def test_components_equal_brute_force(spark, monkeypatch, limit):
     assert all(r.n_shingles == len(sets[r.doc_id]) for r in found)
 
 
+def test_parity_maps_never_overstate_a_difference():
+    rng = np.random.default_rng(5)
+    for size in (1, 7, 60, 900):
+        for other in (0, 1, size // 3, size):
+            a = np.unique(rng.integers(0, 1 << 62, size).astype(np.uint64))
+            b = np.unique(np.concatenate([a[other:], rng.integers(0, 1 << 62, other // 2 + 1).astype(np.uint64)]))
+            far = ngram_join.apart(ngram_join.parity_map(a), ngram_join.parity_map(b))
+            assert far == ngram_join.apart(ngram_join.parity_map(b), ngram_join.parity_map(a))
+            assert far <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert ngram_join.apart(ngram_join.parity_map(a), ngram_join.parity_map(a)) == 0
+
+
+def test_overlaps_of_pairs_in_split_groups(spark, monkeypatch):
+    rows = family_rows(10)
+    sets = {r[0]: shingles(r[1]) for r in rows}
+    some = [i for i in sorted(sets) if sets[i]]
+    pairs = [(some[0], a, b, len(sets[a]), len(sets[b])) for a, b in itertools.combinations(some[:25], 2)]
+    df = spark.createDataFrame(pairs, "root bigint, a bigint, b bigint, n bigint, m bigint")
+    for limit in (50, 1 << 19):
+        monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", limit)
+        found = ngram_join._overlaps(frame(spark, [*rows, rows[0]]), df).collect()
+        assert {(r.a, r.b): r.both for r in found} == {(a, b): len(sets[a] & sets[b]) for _, a, b, _, _ in pairs}
+        assert len(found) == len(pairs)
+
+
 def test_lists_may_span_batches():
     rng = np.random.default_rng(4)
     lists = [np.sort(rng.integers(20, 60, n)) for n in (1, 2, 40, 3, 25, 90, 1)]
