@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.frames import DOCS, documents, frame, held, prose, with_clashes
-from wardline.llm import gated_lm, graph, language_id, line_quality, ngram_join, source_mixing
+from wardline.llm import common, gated_lm, graph, language_id, line_quality, ngram_join, source_mixing
 from wardline.llm.common import WORD_PATTERN, held_out
 
 WORD = re.compile(WORD_PATTERN)
@@ -258,6 +258,21 @@ def test_lists_may_span_batches():
     assert all(pairs(step)[1] >= whole[1] for step in (7, 50))
 
 
+def test_arrow_gives_memory_back_between_batches(monkeypatch):
+    """Workers outlive a stage: what one batch needed must not stay with them."""
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append(1)
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    batches = [pa.RecordBatch.from_pydict({"text": ["x" * 40, None, "y"]}) for _ in range(3)]
+    parts = list(common.slices(iter(batches), limit=30))
+    assert [p.column("text").to_pylist() for p in parts[:2]] == [["x" * 40], [None, "y"]]
+    assert len(given) == 3
+
+
 def test_keep_one(spark):
     rows = family_rows(10)
     component = brute_components({r[0]: shingles(r[1]) for r in rows})
