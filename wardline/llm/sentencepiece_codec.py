@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from wardline.llm.common import Shipped, Split, array, slices, spread, text_array
+from wardline.llm.common import SMALL_SLICE_BYTES, Shipped, Split, array, give_back, slices, spread, text_array
 
 MARK = "▁"
 TABLE_CHUNKS = 250_000
@@ -29,6 +29,12 @@ TABLE_CHUNKS = 250_000
 _CUTS = [chr(c) for c in range(0xE000, 0xF900)]
 
 
+def has_runs(texts: pa.Array) -> bool:
+    """Whether any text has two spaces in a row, or one at its start or end."""
+    tests = pc.match_substring(texts, "  "), pc.starts_with(texts, " "), pc.ends_with(texts, " ")
+    return any(pc.any(found).as_py() for found in tests)
+
+
 class ChunkTable:
     """Distinct chunks of a SentencePiece model with their ids."""
 
@@ -52,14 +58,20 @@ class ChunkTable:
             and not any(MARK in p.lstrip(MARK) for p in pieces)
         )
 
+    def plain_chunks(self, texts: pa.Array) -> Split | None:
+        """Chunks of texts without markers, of which none has a run of spaces or begins or
+        ends with one; else None."""
+        if not self.separable or has_runs(texts) or pc.any(pc.match_substring(texts, MARK)).as_py():
+            return None
+        return Split(texts, " ")
+
     def chunks(self, texts: pa.Array) -> Split | None:
         """Chunks of each text, without their first marker; spaces are further markers.
 
         None where the texts leave no character to cut at.
         """
         texts = pc.replace_substring(texts, MARK, " ")
-        runs = pc.any(pc.match_substring_regex(texts, "  |^ | $")).as_py()
-        if not runs:
+        if not has_runs(texts):
             return Split(texts, " ")
         # Cut before each run of spaces, at a character that the texts lack.
         cut = next((c for c in _CUTS if not pc.any(pc.match_substring(texts, c)).as_py()), None)
@@ -92,9 +104,10 @@ class ChunkTable:
         self.rows: dict[str, int] = {}
         self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and the offsets of each text in them."""
-        split = self.chunks(texts) if self.separable else None
+    def encode(self, texts: pa.Array, split: Split | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and the offsets of each text in them; ``split`` has their chunks."""
+        if split is None and self.separable:
+            split = self.chunks(texts)
         if split is not None:
             index = self.learn(split.parts)[split.index]
             positions, ends = spread(self.lengths, index)
@@ -130,7 +143,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = False) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec: ChunkTable = model.get()
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SMALL_SLICE_BYTES):
             ids, offsets = codec.encode(text_array(batch))
             lists = [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
             decoded, joined = codec.decode(lists), codec.join_decimals(ids, offsets)
@@ -144,5 +157,6 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = False) -
                 columns |= {"ids": array(lists, pa.list_(pa.int32())), "decoded": array(decoded, pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
         codec.clear()  # workers live on; later stages need the memory
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
