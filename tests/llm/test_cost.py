@@ -1,8 +1,9 @@
 """What keeps the text operators within their memory and CPU, beside equal results."""
 
+import numpy as np
 import pyarrow as pa
 
-from wardline.llm import common
+from wardline.llm import common, gated_lm
 
 
 def test_slices_give_memory_back(monkeypatch):
@@ -13,3 +14,20 @@ def test_slices_give_memory_back(monkeypatch):
     assert sum(s.num_rows for s in common.slices(iter([batch, batch]), limit=10)) == 6
     assert len(calls) == 3
 
+
+def test_words_stay_in_arrow_until_asked_for():
+    """op7_gated_lm, op3_line_quality: parts become strings of Python on demand only."""
+    split = common.split_words(pa.array(["a\tb  a", "", "\nc\x0bd\x0ce\rb "]))
+    assert "parts" not in vars(split)
+    assert [split.parts[k] for k in split.index] == ["a", "b", "a", "c", "d", "e", "b"]
+    assert split.offsets.tolist() == [0, 3, 3, 7]
+
+
+def test_training_steps_are_those_of_the_formulas():
+    """op7_gated_lm: one window's steps in place give what the plain formulas give."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((7, 5)).astype(np.float32)
+    plain = 1 / (1 + np.exp(-x))
+    given = x.copy()
+    assert gated_lm._sigmoid(given) is given and np.array_equal(given, plain)
+

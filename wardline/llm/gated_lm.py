@@ -70,11 +70,11 @@ def text_blocks(docs: DataFrame, held: Column) -> DataFrame:
         for batch in slices(batches, limit=BLOCK_BYTES):
             split = split_words(pc.ascii_lower(text_array(batch)))
             # The most frequent words first; an empty part is not a word and is used nowhere.
-            times = np.bincount(split.index, minlength=len(split.parts))
+            times = np.bincount(split.index, minlength=len(split.dictionary))
             order = np.argsort(-times, kind="stable")[: np.count_nonzero(times)]
-            ranks = np.zeros(len(split.parts), np.int64)
+            ranks = np.zeros(len(split.dictionary), np.int64)
             ranks[order] = np.arange(len(order))
-            index, words = ranks[split.index], [split.parts[k] for k in order.tolist()]
+            index, words = ranks[split.index], split.dictionary.take(pa.array(order))
             lengths = np.diff(split.offsets)
             out = batch.column("held").to_numpy(zero_copy_only=False)
             trained = np.bincount(index[np.repeat(~out, lengths)], minlength=len(words))
@@ -83,7 +83,7 @@ def text_blocks(docs: DataFrame, held: Column) -> DataFrame:
                 "held": array([out.tolist()], pa.list_(pa.bool_())),
                 "lengths": array([lengths], pa.list_(pa.int64())),
                 "index": array([pack(index)], pa.binary()),
-                "words": array([words], pa.list_(pa.string())),
+                "words": pa.ListArray.from_arrays(array([0, len(words)], pa.int32()), words),
                 "trained": array([trained[: len(words)]], pa.list_(pa.int64())),
             })
 
@@ -158,7 +158,10 @@ def lanes(tokens: np.ndarray, lengths: np.ndarray, most: int = LANES) -> tuple[n
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def _windows(dealt: np.ndarray, owners: np.ndarray) -> Iterator[tuple]:
@@ -180,7 +183,7 @@ def _windows(dealt: np.ndarray, owners: np.ndarray) -> Iterator[tuple]:
 
 def _recur(w: dict, inputs: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool) -> tuple:
     """States (time, lane, hidden) of one window, and what backpropagation needs."""
-    given = w["inputs"][inputs]
+    given = w["inputs"].take(inputs, axis=0)
     h2 = 2 * HIDDEN
     states, state = np.empty((*inputs.shape, HIDDEN), np.float32), state[: inputs.shape[1]]
     memory = [np.empty_like(states) for _ in range(5)] if keep else None
@@ -190,12 +193,15 @@ def _recur(w: dict, inputs: np.ndarray, first: np.ndarray, state: np.ndarray, ke
         turned = state @ w["turn"]
         gates = _sigmoid(given[t, :, :h2] + turned[:, :h2])
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(given[t, :, h2:] + r * turned[:, h2:])
+        new = r * turned[:, h2:]
+        new += given[t, :, h2:]
+        np.tanh(new, out=new)
         if keep:
             for kept, value in zip(memory, (state, z, r, turned[:, h2:], new)):
                 kept[t] = value
-        state = new + z * (state - new)
-        states[t] = state
+        state = np.subtract(state, new, out=states[t])
+        state *= z
+        state += new
     return states, state, memory
 
 
@@ -206,7 +212,8 @@ def _outputs(model: Model, states: np.ndarray, targets: np.ndarray, grads: dict
     the class is left to the caller.
     """
     w = model.weights
-    logits = states @ w["class"] + w["class_bias"]
+    logits = states @ w["class"]
+    logits += w["class_bias"]
     logits -= logits.max(axis=1, keepdims=True)
     odds = np.exp(logits)
     sums = odds.sum(axis=1)
@@ -224,16 +231,17 @@ def _outputs(model: Model, states: np.ndarray, targets: np.ndarray, grads: dict
         grads["class"], grads["class_bias"] = states.T @ odds, odds.sum(axis=0)
         back = odds @ w["class"].T
         grads["word"], grads["word_bias"] = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
-    order = np.argsort(kinds, kind="stable")
-    cuts = np.searchsorted(kinds[order], np.arange(model.classes + 1)).tolist()
-    grouped, wanted = states[order[: cuts[-1]]], targets[order[: cuts[-1]]]
+    order = np.argsort(kinds.astype(np.uint16), kind="stable")  # by radix
+    cuts = [0, *np.cumsum(np.bincount(kinds, minlength=model.classes + 1)).tolist()][: model.classes + 1]
+    grouped, wanted = states.take(order[: cuts[-1]], axis=0), targets[order[: cuts[-1]]]
     inside, returned = np.zeros(len(wanted)), np.zeros_like(grouped) if grads is not None else None
     for kind in range(model.classes):
         mine, a, b = slice(cuts[kind], cuts[kind + 1]), model.first[kind], model.first[kind + 1]
         own, table = grouped[mine], w["word"][a:b]
         if not len(own) or b - a == 1:
             continue
-        inner = own @ table.T + w["word_bias"][a:b]
+        inner = own @ table.T
+        inner += w["word_bias"][a:b]
         inner -= inner.max(axis=1, keepdims=True)
         place = np.arange(len(own)), wanted[mine] - a
         picked = inner[place]
@@ -268,8 +276,14 @@ def train(model: Model, tokens: np.ndarray, lengths: np.ndarray, squares: dict)
         above[live] = back
         above = above.reshape(states.shape)
         # What a gradient of the state passes on to each gate, for all times at once.
-        to_keep, to_new = (before - new) * z * (1 - z), (1 - z) * (1 - new**2)
-        to_reset = turned * r * (1 - r)
+        rest = 1 - z
+        to_keep = before - new
+        to_keep *= z
+        to_keep *= rest
+        to_new = rest
+        to_new *= 1 - new**2
+        to_reset = turned * r
+        to_reset *= 1 - r
         through, d_new = np.empty((*inputs.shape, 3 * HIDDEN), np.float32), np.empty_like(states)
         back_turn = np.ascontiguousarray(w["turn"].T)
         down = np.zeros((inputs.shape[1], HIDDEN), np.float32)
@@ -284,14 +298,21 @@ def train(model: Model, tokens: np.ndarray, lengths: np.ndarray, squares: dict)
                 down[first[t]] = 0
         through = through.reshape(-1, 3 * HIDDEN)
         grads["turn"] = before.reshape(-1, HIDDEN).T @ through
-        delta = np.concatenate([through[:, : 2 * HIDDEN], d_new.reshape(-1, HIDDEN)], axis=1)
-        order = np.argsort(inputs.ravel(), kind="stable")
-        used, starts = np.unique(inputs.ravel()[order], return_index=True)
+        through[:, 2 * HIDDEN :] = d_new.reshape(-1, HIDDEN)
+        flat_inputs = inputs.ravel()
+        # Numbers of inputs are few enough to be sorted by radix.
+        order = np.argsort(flat_inputs.astype(np.uint16) if model.unknown < 1 << 16 else flat_inputs, kind="stable")
+        flat_inputs = flat_inputs[order]
+        starts = np.flatnonzero(np.concatenate([[True], flat_inputs[1:] != flat_inputs[:-1]]))
         grads["inputs"] = np.zeros_like(w["inputs"])
-        grads["inputs"][used] = np.add.reduceat(delta[order], starts)
+        grads["inputs"][flat_inputs[starts]] = np.add.reduceat(through.take(order, axis=0), starts)
         for name, grad in grads.items():
-            squares[name] = squares.get(name, np.float32(1e-8)) + grad * grad
-            w[name] -= np.float32(RATE) * grad / np.sqrt(squares[name])
+            if name not in squares:
+                squares[name] = np.full_like(grad, 1e-8)
+            squares[name] += grad * grad
+            grad *= np.float32(RATE)
+            grad /= np.sqrt(squares[name])
+            w[name] -= grad
     return total / max(count, 1)
 
 
