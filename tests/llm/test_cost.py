@@ -1,9 +1,10 @@
 """What keeps the text operators within their memory and CPU, beside equal results."""
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 
-from wardline.llm import common, gated_lm
+from wardline.llm import common, gated_lm, token_alignment
 
 
 def test_slices_give_memory_back(monkeypatch):
@@ -31,3 +32,22 @@ def test_training_steps_are_those_of_the_formulas():
     given = x.copy()
     assert gated_lm._sigmoid(given) is given and np.array_equal(given, plain)
 
+
+def test_chunks_share_calls_of_the_byte_level_library():
+    """op13_token_alignment: many new chunks make one text; each gets its own ids."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        table = token_alignment.ByteLevel(file.read())
+    library, given = table.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    table.tokenizer = Counting()
+    texts = [" ".join(f"w{k}é," for k in range(200)), "a\nb\n c it's ", "", " x y ", "two  spaces", "日本 <|endoftext|> x"]
+    ids, offsets = table.encode(pa.array(texts))
+    for text, a, b in zip(texts, offsets, offsets[1:]):
+        if text:
+            assert ids[a:b].tolist() == library.encode(" " + text, add_special_tokens=False).ids, text
+    assert len(given) < 30

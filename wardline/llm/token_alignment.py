@@ -41,6 +41,7 @@ MARK = "▁"
 BLOCK_BYTES = 4 << 20
 # Texts of a block are aligned so many bytes at a time, and encoded so many chunks at a time.
 STEP_BYTES, STEP_CHUNKS = 512 << 10, 1 << 13
+JOINED = 50
 TABLE_CHUNKS = 100_000
 # Pairs are one number: A's id times this plus B's id.
 PAIR = 1 << 32
@@ -65,7 +66,8 @@ class ByteLevel:
     Its pre-tokenizer starts a token before every space that follows a character other than
     white space, whatever comes before. So a text without two spaces in a row is encoded
     chunk by chunk, a chunk being a space and what follows up to the next one; other texts
-    go to the library whole, as do all texts of a tokenizer of another make.
+    go to the library whole, as do all texts of a tokenizer of another make. New chunks go to
+    it many in one text, for a call costs more than a chunk.
     """
 
     def __init__(self, content: bytes, limit: int = TABLE_CHUNKS):
@@ -80,6 +82,7 @@ class ByteLevel:
         for token, number in vocabulary.items():
             entries[number] = bytes(codes[c] for c in token) if codes.keys() >= set(token) else token.encode()
         self.bytes = ByteTable(entries)
+        self.opens = np.array([e[:1] == b" " for e in entries])
         pieces = str(self.tokenizer.pre_tokenizer)
         self.separable = (
             self.tokenizer.normalizer is None
@@ -98,23 +101,41 @@ class ByteLevel:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
 
+    def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a space and each chunk, where no chunk is empty or has white space: a token
+        that begins with a space begins a chunk."""
+        flat, lengths = self._library([" " + " ".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)])
+        starts = np.flatnonzero(self.opens[flat])
+        if len(starts) != len(chunks):
+            return self._library([" " + c for c in chunks])
+        return flat, np.diff(starts, append=len(flat))
+
     def _learn(self, chunks: list[str]) -> np.ndarray:
         if len(self.rows) > self.limit:
             self.clear()
-        new = [c for c in chunks if c not in self.rows]
-        if new:
+        missing = [c for c in chunks if c not in self.rows]
+        if missing:
+            plain = [c for c in missing if c.split() == [c]]
+            known = set(plain)
+            others = [c for c in missing if c not in known]
+            new = plain + others
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-            flat, lengths = self._library([" " + c for c in new])
+            parts = self._joined(plain), self._library([" " + c for c in others])
+            flat, lengths = (np.concatenate(both) for both in zip(*parts))
             self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
         return np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a space and each text, and each text's offsets."""
+    def encode(self, texts: pa.Array, split: Split | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a space and each text, and each text's offsets. ``split`` is that at spaces
+        of texts without runs of them."""
         if not self.separable:
             flat, lengths = self._library([" " + t for t in texts.to_pylist()])
             return flat, np.concatenate([[0], np.cumsum(lengths)])
-        runs = pc.match_substring_regex(texts, "^ |  ")
-        split = Split(pc.if_else(runs, "", texts), " ")
+        if split is None:
+            runs = pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  "))
+            split = Split(pc.if_else(runs, "", texts), " ")
+        else:
+            runs = pa.array(np.zeros(len(texts), bool))
         index = self._learn(split.parts)[split.index]
         positions, ends = spread(self.lengths, index)
         offsets = np.concatenate([[0], ends])[split.offsets]
@@ -288,8 +309,9 @@ def _spelled(table: ByteTable, ids: np.ndarray, offsets: np.ndarray, raw: np.nda
 def align_batch(texts: pa.Array, a: ByteLevel, b: Pieces, decimals: ByteTable) -> dict:
     """Numbers of each text, and its links as ``pairs`` (distinct), and per text the sorted
     ``index`` of its distinct pairs with their ``times``."""
-    a_ids, a_offsets = a.encode(texts)
-    b_ids, b_offsets = b.encode(texts)
+    split = b.plain_chunks(texts) if a.separable else None
+    a_ids, a_offsets = a.encode(texts, split)
+    b_ids, b_offsets = b.encode(texts, split)
     spaced = pc.binary_join_element_wise(" ", texts, "").cast(pa.binary())
     sizes = pc.binary_length(spaced).to_numpy(zero_copy_only=False).astype(np.int64)
     raw = np.frombuffer(b"".join(spaced.to_pylist()), np.uint8)
