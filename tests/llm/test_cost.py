@@ -3,8 +3,9 @@
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from tokenizers import Tokenizer
 
-from wardline.llm import common, gated_lm, token_alignment
+from wardline.llm import common, gated_lm, token_alignment, token_store
 
 
 def test_slices_give_memory_back(monkeypatch):
@@ -33,6 +34,26 @@ def test_training_steps_are_those_of_the_formulas():
     assert gated_lm._sigmoid(given) is given and np.array_equal(given, plain)
 
 
+def test_word_and_closing_are_units_of_their_own():
+    """op2_token_store: a word is encoded once, whatever closes it and however it is written."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, "rb") as file:
+        table = token_store.WordTable(file.read())
+    library = Tokenizer.from_file(path)
+    known = len(table.words)
+    chunks = ["Zörble", "zörble,", "ZÖRBLE...", "zörble", "it's", "ªx", "...", "Straße!", "日本", "x y"]
+    rows = table.learn(chunks)
+    assert len(table.words) == known + 1  # straße is known from the start
+    starts = np.cumsum(table.lengths) - table.lengths
+    for chunk, row in zip(chunks, rows):
+        found = table.flat[starts[row] : starts[row] + table.lengths[row]].tolist()
+        assert found == library.encode(chunk, add_special_tokens=False).ids, chunk
+    table._forget()  # a full table starts again; what was learned stays
+    assert table.learn(chunks + ["zörble;"]).tolist()[:-1] == rows.tolist()
+    last = table.flat[int(table.lengths[:-1].sum()) :].tolist()
+    assert last == library.encode("zörble;", add_special_tokens=False).ids
+
+
 def test_chunks_share_calls_of_the_byte_level_library():
     """op13_token_alignment: many new chunks make one text; each gets its own ids."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:

@@ -24,12 +24,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from wardline.llm.common import Shipped, array, slices, split_words, spread, text_array
+from wardline.llm.common import Shipped, array, slices, split_words, spread, text_array, text_list
 from wardline.llm.perfect_hash import PerfectHash, fingerprints
 
 MANIFEST = "shard int, name string, n_docs bigint, n_tokens bigint, width int, first_doc_id bigint, last_doc_id bigint"
@@ -38,7 +39,7 @@ _JOINED = 50
 SHARD_BYTES = 16 << 20
 # Letters of Latin-1. Composed, each its own lower-case pair: the tokenizer's normaliser
 # and pre-tokenizer leave a lower-cased word of these whole.
-LETTERS = frozenset(chr(c) for c in range(256) if chr(c).isalpha() and chr(c) not in "ªµº")
+WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 # Characters that close a word and go into tokens of their own; the apostrophe may not.
 CLOSING = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
@@ -66,8 +67,7 @@ class WordTable:
         letters = byte_letters()
         self.by_byte = {b: letters[b] for b in range(256)}
         self.clear()
-        self.closings: dict[str, list[int]] = {"": []}
-        self.words: dict[str, list[int]] = {}
+        self._forget()
         self.plain = Tokenizer(self.model)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -85,28 +85,62 @@ class WordTable:
         self.rows: dict[str, int] = {}
         self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _closing(self, closing: str) -> list[int]:
-        if closing not in self.closings:
-            if len(self.closings) > 10_000:
-                self.closings = {"": []}
-            self.closings[closing] = self.tokenizer.encode(closing, add_special_tokens=False).ids
-        return self.closings[closing]
-
-    def _core(self, chunk: str) -> str | None:
-        """The word of a chunk that the model can take alone in lower case, else None."""
-        core = chunk.rstrip(CLOSING)
-        return core if core and LETTERS.issuperset(core) else None
-
-    def _by_model(self, found: set[str]) -> None:
-        """Put the ids of these words into ``words``, many words in one call."""
-        if len(self.words) > self.limit:
-            self.words = {}
-        new = [w for w in found if w not in self.words]
-        spelled = [w if w.isascii() else w.encode().decode("latin-1").translate(self.by_byte) for w in new]
-        joined = [" ".join(spelled[i : i + _JOINED]) for i in range(0, len(spelled), _JOINED)]
-        ids = list(chain.from_iterable(e.ids for e in self.plain.encode_batch_fast(joined, add_special_tokens=False)))
-        ends = [0, *(np.flatnonzero(self.closes[ids]) + 1).tolist()] if ids else [0]
-        self.words.update((w, ids[a:b]) for w, a, b in zip(new, ends[:-1], ends[1:], strict=True))
+    def _forget(self) -> None:
+        """Start the table of units: first the empty one, then words and closings."""
+        self.words: dict[str, int] = {}
+        self.closings: dict[str, int] = {"": 0}
+        self.unit_lengths, self.unit_flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Rows of new units."""
+        first = len(self.unit_lengths)
+        self.unit_lengths = np.concatenate([self.unit_lengths, lengths])
+        self.unit_flat = np.concatenate([self.unit_flat, ids.astype(np.uint32)])
+        return np.arange(first, first + len(lengths))
+
+    def _library(self, texts: list[str]) -> np.ndarray:
+        """Units of texts that go through the whole tokenizer."""
+        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return self._add(lengths, np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum())))
+
+    def _by_model(self, words: list[str]) -> np.ndarray:
+        """Units of distinct lower-case words, many new words in one call."""
+        new = [w for w in words if w not in self.words]
+        if new:
+            spelled = [w if w.isascii() else w.encode().decode("latin-1").translate(self.by_byte) for w in new]
+            joined = [" ".join(spelled[i : i + _JOINED]) for i in range(0, len(spelled), _JOINED)]
+            found = [e.ids for e in self.plain.encode_batch_fast(joined, add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(found), np.int64, sum(map(len, found)))
+            lengths = np.diff(np.flatnonzero(self.closes[ids]) + 1, prepend=0)
+            self.words.update(zip(new, self._add(lengths, ids).tolist(), strict=True))
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+
+    def _encode_new(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of chunks: a word that the model can take alone in lower case and
+        what closes it are a unit each, any other chunk is one."""
+        if len(self.words) > self.limit or len(self.closings) > 10_000:
+            self._forget()
+        texts = pa.array(chunks, pa.string())
+        cores = pc.utf8_rtrim(texts, CLOSING)
+        alone = pc.match_substring_regex(cores, WORD) if self.by_model else pa.array(np.zeros(len(chunks), bool))
+        taken = alone.to_numpy(zero_copy_only=False)
+        units = np.zeros((len(chunks), 2), np.int64)
+        lowered = pc.utf8_lower(cores.filter(alone)).dictionary_encode()
+        units[taken, 0] = self._by_model(text_list(lowered.dictionary))[lowered.indices.to_numpy(zero_copy_only=False)]
+        closing = pc.subtract(pc.binary_length(texts), pc.binary_length(cores)).to_numpy(zero_copy_only=False)
+        closed = np.flatnonzero(taken & (closing > 0))
+        ends = [chunks[k][-n:] for k, n in zip(closed.tolist(), closing[closed].tolist())]
+        new = [e for e in dict.fromkeys(ends) if e not in self.closings]
+        self.closings.update(zip(new, self._library(new).tolist(), strict=True))
+        units[closed, 1] = [self.closings[e] for e in ends]
+        kept = len(self.unit_lengths), len(self.unit_flat)
+        hard = np.flatnonzero(~taken)
+        units[hard, 0] = self._library([chunks[k] for k in hard.tolist()])
+        positions, stops = spread(self.unit_lengths, units.ravel())
+        flat = self.unit_flat[positions]
+        self.unit_lengths, self.unit_flat = self.unit_lengths[: kept[0]], self.unit_flat[: kept[1]]
+        return np.diff(stops[1::2], prepend=0), flat
 
     def learn(self, chunks: list[str]) -> np.ndarray:
         if len(self.rows) > self.limit:
@@ -114,21 +148,8 @@ class WordTable:
         rows = self.rows
         new = [c for c in chunks if c not in rows]
         if new:
-            cores = [self._core(c) if self.by_model else None for c in new]
-            self._by_model({c.lower() for c in cores if c})
-            hard = [c for c, core in zip(new, cores) if core is None]
-            rest = iter(self.tokenizer.encode_batch(hard, add_special_tokens=False))
-            words, found = self.words, []
-            for chunk, core in zip(new, cores):
-                if core is None:
-                    found.append(next(rest).ids)
-                elif len(core) == len(chunk):
-                    found.append(words[core.lower()])
-                else:
-                    found.append(words[core.lower()] + self._closing(chunk[len(core) :]))
+            lengths, flat = self._encode_new(new)
             rows.update(zip(new, range(len(rows), len(rows) + len(new)), strict=True))
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
             self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, flat])
         return np.fromiter(map(rows.__getitem__, chunks), np.int64, len(chunks))
