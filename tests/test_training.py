@@ -1,4 +1,5 @@
 import random
+from datetime import date
 
 import numpy as np
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import Settings
 from wardline.functions.features import HIGH_COST_TARGET, LOS_TARGET, TARGET
-from wardline.operators import explain, training
+from wardline.operators import explain, store, training
 
 SETTINGS = Settings(n_cv_folds=2, n_trials=2, max_depth=(2, 3), n_estimators=(3, 6), num_leaves=(3, 6), leafwise_n_estimators=(2, 4))
 TREES, LEAFWISE = {"maxIter": 8, "maxDepth": 3}, {"maxIter": 10, "numLeaves": 6, "stepSize": 0.2}
@@ -101,3 +102,30 @@ def test_stay_and_cost_models(sides):
     assert scored.where("los_predicted_days < 0").count() == 0
     _, row, _ = training.train_high_cost(*sides, 42, {"maxIter": 5, "maxDepth": 3})
     assert row.first().auroc > 0.9
+
+
+def test_matrix_is_written_once_with_a_folder_for_each_side(spark, sides):
+    day = F.make_date(F.lit(1998), F.lit(1) + F.col("elixhauser_count") % 12, F.lit(1))
+    known = sides[0].withColumn("admit_dt", F.when(F.col("elixhauser_count") != 3, day))
+    spread = known.unionByName(known.limit(5))  # keys may repeat
+    root = f"{store.workspace(spark)}/wardline"
+    before = set(store.list_names(spark, root))
+    train, test = training.prepare_sides(spread, TARGET, date(1998, 6, 1), "sides")
+    (written,) = set(store.list_names(spark, root)) - before
+    assert written.startswith("sides-")
+    whole = training.prepare(spread, TARGET, "whole")
+    for side, wanted in ((train, "admit_dt < '1998-06-01'"), (test, "admit_dt >= '1998-06-01'")):
+        assert side.schema == whole.schema
+        assert sorted(map(str, side.collect())) == sorted(map(str, whole.where(wanted).collect()))
+    folders = [{r.f.rsplit("/", 1)[0] for r in side.select(F.input_file_name().alias("f")).collect()} for side in (train, test)]
+    assert len(folders[0]) == len(folders[1]) == 1 and folders[0] != folders[1]
+    train, test = training.prepare_sides(spread, TARGET, date(1990, 1, 1), "sides")
+    assert train.count() == 0 and test.count() == spread.where("admit_dt IS NOT NULL").count()
+
+
+def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(sides):
+    fit_rows = training.with_class_weight(training.prepare(sides[0], TARGET, "t"), TARGET)
+    learner = training.random_forest(params={"numTrees": 12})
+    assert learner.getCacheNodeIds()
+    kept, walked = (f.fit(fit_rows) for f in (learner, learner.copy().setCacheNodeIds(False)))
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in walked.trees]

@@ -51,7 +51,7 @@ from wardline.operators.labels import (
 from wardline.operators.metrics import evaluate, evaluate_models, regression_metrics
 from wardline.operators.ordering import seeded_hash
 from wardline.operators.search import Bounds, SearchResult, search
-from wardline.operators.store import list_names, materialize, path_exists
+from wardline.operators.store import list_names, materialize, materialize_sides, path_exists
 from wardline.operators.trees import read_forest, tree_attributions
 
 VECTOR, BLEND, PROB = "features", "blend", "readmission_prob"
@@ -109,6 +109,8 @@ def boosted_trees(label: str = TARGET, seed: int = 42, params: Mapping | None =
 
 
 def random_forest(label: str = TARGET, seed: int = 42, params: Mapping | None = None) -> RandomForestClassifier:
+    """Each row's nodes are kept between passes: no pass walks all trees from their roots.
+    The trees are the same as without."""
     return RandomForestClassifier(
         featuresCol=VECTOR,
         labelCol=label,
@@ -116,6 +118,7 @@ def random_forest(label: str = TARGET, seed: int = 42, params: Mapping | None =
         probabilityCol="forest_probability",
         rawPredictionCol="forest_raw",
         predictionCol="forest_class",
+        cacheNodeIds=True,
         seed=seed,
         **{**FOREST_DEFAULTS, **(params or {})},
     )
@@ -266,13 +269,25 @@ class TrainingResult:
     search: tuple[dict, ...] = ()  # cards of the searches of the two voters
 
 
-def prepare(df: DataFrame, label: str, name: str) -> DataFrame:
-    """Assembled matrix with its keys and targets, written to the workspace."""
+def matrix_rows(df: DataFrame, label: str) -> DataFrame:
+    """Assembled matrix with its keys and targets."""
     labelled = df.withColumn(label, F.coalesce(F.col(label), F.lit(0)).cast("double"))
     kept = [c for c in ("claim_id", "bene_id", "admit_dt", "provider_id") if c in df.columns]
     targets = [c for c in (TARGET, LOS_TARGET, HIGH_COST_TARGET) if c in df.columns]
-    matrix = assemble(labelled).select(*kept, *targets, VECTOR)
-    return materialize(matrix, name)
+    return assemble(labelled).select(*kept, *targets, VECTOR)
+
+
+def prepare(df: DataFrame, label: str, name: str) -> DataFrame:
+    """Assembled matrix with its keys and targets, written to the workspace."""
+    return materialize(matrix_rows(df, label), name)
+
+
+def prepare_sides(df: DataFrame, label: str, split: date, name: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) matrices of ``prepare``, admitted before the split date and from it on.
+
+    ``df`` is run once and written as the matrix alone, a folder for each side.
+    """
+    return materialize_sides(matrix_rows(df, label), F.col("admit_dt") >= F.lit(split), name)
 
 
 def holdout_split(train: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:

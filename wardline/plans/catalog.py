@@ -132,6 +132,10 @@ class Job(OrderTables):
         """(train, test) rows as a written table: training makes many passes."""
         return labels.split_by_date(store.materialize(self.encoded, "model-rows"), SPLIT)
 
+    def matrix_sides(self, label: str) -> tuple[DataFrame, DataFrame]:
+        """(train, test) matrices for one label, written straight from the features."""
+        return training.prepare_sides(self.encoded, label, SPLIT, "matrix")
+
 
 def query(function: Callable[[Job], DataFrame]) -> Callable[[Job], DataFrame]:
     """Register ``function(job)`` under its own name."""
@@ -842,9 +846,8 @@ def _model_root(job: Job) -> str:
 
 
 def _fit_rows(job: Job) -> tuple[DataFrame, DataFrame]:
-    train, test = job.stored_sides
-    fit_rows = labels.with_class_weight(training.prepare(train, fx.TARGET, "train"))
-    return fit_rows, training.prepare(test, fx.TARGET, "test")
+    train, test = job.matrix_sides(fx.TARGET)
+    return labels.with_class_weight(train), test
 
 
 @query
@@ -962,7 +965,7 @@ def top3_tree(job: Job) -> DataFrame:
     path = f"{_model_root(job)}/gbt"
     model.write().save(path)
     forest = trees.read_forest(job.spark, path, model.treeWeights)
-    parts = trees.tree_attributions(test_rows, forest, training.feature_names(job.stored_sides[0]))
+    parts = trees.tree_attributions(test_rows, forest, training.feature_names(job.encoded))
     named = test_rows.select("claim_id", explain.top_names(parts).alias("top"))
     return named.select("claim_id", *[F.get("top", i).alias(f"top_{i + 1}") for i in range(3)])
 
