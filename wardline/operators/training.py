@@ -434,7 +434,11 @@ def predict_los(model, assembled: DataFrame) -> DataFrame:
 
 def train_los(train: DataFrame, test: DataFrame, seed: int = 42, params: Mapping | None = None):
     """(model, one metrics row, scored test rows) of the stay regression."""
-    fit_rows, test_rows = prepare(train, LOS_TARGET, "los-train"), prepare(test, LOS_TARGET, "los-test")
+    return assess_los(prepare(train, LOS_TARGET, "los-train"), prepare(test, LOS_TARGET, "los-test"), seed, params)
+
+
+def assess_los(fit_rows: DataFrame, test_rows: DataFrame, seed: int = 42, params: Mapping | None = None):
+    """``train_los`` on matrices that are written already."""
     model = fit_los(fit_rows, seed, params)
     scored = predict_los(model, test_rows)
     return model, regression_metrics(scored, LOS_TARGET, "los_log_prediction", "los_boosted_trees"), scored
@@ -449,7 +453,12 @@ def fit_high_cost(rows: DataFrame, seed: int = 42, params: Mapping | None = None
 def train_high_cost(train: DataFrame, test: DataFrame, seed: int = 42, params: Mapping | None = None):
     """(model, one metrics row, scored test rows) of the high-cost classifier."""
     test_rows = prepare(test, HIGH_COST_TARGET, "cost-test")
-    model = fit_high_cost(prepare(train, HIGH_COST_TARGET, "cost-train"), seed, params)
+    return assess_high_cost(prepare(train, HIGH_COST_TARGET, "cost-train"), test_rows, seed, params)
+
+
+def assess_high_cost(fit_rows: DataFrame, test_rows: DataFrame, seed: int = 42, params: Mapping | None = None):
+    """``train_high_cost`` on matrices that are written already."""
+    model = fit_high_cost(fit_rows, seed, params)
     scored = model.transform(test_rows).withColumn("high_cost_prob", positive("gbt_probability"))
     scored = materialize(scored.select("claim_id", HIGH_COST_TARGET, "high_cost_prob"), "cost-scores")
     return model, evaluate(scored, HIGH_COST_TARGET, "high_cost_prob", "high_cost_boosted_trees"), scored

@@ -972,15 +972,15 @@ def top3_tree(job: Job) -> DataFrame:
 
 @query
 def model_los(job: Job) -> DataFrame:
-    return training.train_los(*job.stored_sides, SEED)[1]
+    return training.assess_los(*job.matrix_sides(fx.LOS_TARGET), SEED)[1]
 
 
 @query
 def los_pred_vs_actual(job: Job) -> DataFrame:
-    _, _, scored = training.train_los(*job.stored_sides, SEED)
+    _, _, scored = training.assess_los(*job.matrix_sides(fx.LOS_TARGET), SEED)
     return report.los_predicted_vs_actual(scored, job.features)
 
 
 @query
 def model_high_cost(job: Job) -> DataFrame:
-    return training.train_high_cost(*job.stored_sides, SEED)[1]
+    return training.assess_high_cost(*job.matrix_sides(fx.HIGH_COST_TARGET), SEED)[1]
