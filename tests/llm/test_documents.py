@@ -211,6 +211,80 @@ def test_components_equal_brute_force(spark, monkeypatch, limit):
     assert all(r.n_shingles == len(sets[r.doc_id]) for r in found)
 
 
+def written(monkeypatch, module):
+    """Counts the rows of what a module writes to the workspace, by name."""
+    rows, write = collections.Counter(), module.materialize
+
+    def counted(df, name):
+        stored = write(df, name)
+        rows[name] += stored.count()
+        return stored
+
+    monkeypatch.setattr(module, "materialize", counted)
+    return rows
+
+
+def test_copies_lengthen_no_list(spark, monkeypatch):
+    texts = [r[1] for r in family_rows(5) if shingles(r[1])]
+    found = []
+    for copies in (1, 40):
+        rows = written(monkeypatch, ngram_join)
+        docs = [(k * len(texts) + i, text, "en", "src0", None) for k in range(copies) for i, text in enumerate(texts)]
+        parts = ngram_join.link_components(frame(spark, docs).repartition(8)).collect()
+        found.append((rows["shingle-candidates"], len({r.component_id for r in parts})))
+    assert found[0] == found[1]
+
+
+def test_unlike_sets_of_a_long_list_do_not_travel(spark, monkeypatch):
+    """Texts that share four fifths of their shingles: their rare ones do not fill the index."""
+    rng = np.random.default_rng(6)
+    common_words = [f"c{k}" for k in range(84)]
+    rows = [(k, " ".join(common_words + [f"r{x}" for x in rng.integers(0, 1 << 40, 20)]), "en", "src0", None) for k in range(150)]
+    sent, take = [], ngram_join._sets_of
+
+    def counted(docs, ids):
+        sent.append(ids.distinct().count())
+        return take(docs, ids)
+
+    monkeypatch.setattr(ngram_join, "_sets_of", counted)
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 5)
+    found = ngram_join.link_components(frame(spark, rows)).collect()
+    assert all(r.component_id == r.doc_id for r in found)
+    assert sent[-1] < len(rows) // 2
+
+
+def test_open_sets_have_every_link_of_different_components():
+    rng = np.random.default_rng(8)
+    sets = []
+    for k in range(300):
+        base = sets[rng.integers(len(sets))] if k % 4 and sets else rng.integers(0, 1 << 62, rng.integers(1, 400)).astype(np.uint64)
+        some = base[rng.random(len(base)) > 0.1 * rng.random()]
+        sets.append(np.unique(np.concatenate([some, rng.integers(0, 1 << 62, 1 + len(base) // 20).astype(np.uint64)])))
+    ids, known, side = np.arange(300), rng.integers(0, 40, 300), rng.integers(0, 2, 300)
+    sizes, maps = np.array([len(s) for s in sets]), [ngram_join.parity_map(s) for s in sets]
+    for sides in (None, side):
+        found = ngram_join._open_sets(ids, known, sides, sizes, maps)
+        linked, near = np.zeros(300, bool), np.zeros(300, bool)
+        for a, b in itertools.combinations(range(300), 2):
+            if known[a] != known[b] and (sides is None or side[a] != side[b]):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                linked[[a, b]] |= 175 * both >= 75 * (sizes[a] + sizes[b])
+                fits = 100 * min(sizes[a], sizes[b]) >= 75 * max(sizes[a], sizes[b])
+                near[[a, b]] |= fits and ngram_join.apart(maps[a], maps[b]) <= sizes[a] + sizes[b] - 2 * ngram_join.needed(sizes[a], sizes[b])
+        assert linked.sum() > 50 and not (linked & ~found).any()
+        assert (found == near).all()
+
+
+def test_block_links_in_tiles_equal_brute_force():
+    rng = np.random.default_rng(9)
+    sets = []
+    for k in range(700):
+        base = sets[-1] if k % 3 else rng.integers(0, 1 << 62, 40).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([base[2:], rng.integers(0, 1 << 62, 2).astype(np.uint64)])))
+    ids, roots = ngram_join._block_links(np.arange(700), sets)
+    assert dict(zip(ids.tolist(), roots.tolist())) == brute_components(dict(enumerate(set(s.tolist()) for s in sets)))
+
+
 def test_parity_maps_never_overstate_a_difference():
     rng = np.random.default_rng(5)
     for size in (1, 7, 60, 900):
