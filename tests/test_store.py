@@ -74,3 +74,20 @@ def test_csv_format(spark, tmp_path):
     store.write_csv(df, str(tmp_path / "c"))
     text = next((tmp_path / "c").glob("*.csv")).read_text().splitlines()
     assert text == ["s,n,d", "a,,2009-01-02", ",5,"]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    import time
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = blocks.getAllBlocks().toString().count("shuffle_")
+    grouped = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    assert store.materialize(grouped, "grouped").count() == 100
+    assert spark.conf.get(store.DROP_SHUFFLES, None) is None
+    for _ in range(50):  # removed in the background
+        left = blocks.getAllBlocks().toString().count("shuffle_")
+        if left <= before:
+            break
+        time.sleep(0.1)
+    # The count just above has at most one file and its index for each of its tasks.
+    assert left - before <= 2 * spark.sparkContext.defaultParallelism
