@@ -60,6 +60,47 @@ def test_links_equal_brute_force(spark, monkeypatch, chunk):
     assert sum(r.n_links for r in found) > 10_000
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_labels_of_many_chunks_equal_brute_force(spark, monkeypatch, kind):
+    monkeypatch.setattr(embedding_join, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(embedding_join, "CHUNK_ROWS", 16)
+    rows = vectors(seed=3)
+    df = spark.createDataFrame(rows, VECTORS.replace("float", kind))
+    found = embedding_join.near_duplicates(df.repartition(3)).collect()
+    assert {r.vec_id: tuple(r)[1:] for r in found} == brute(rows)
+
+
+def test_vectors_are_not_written_once_per_cell(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(k, [float(np.float32(x)) for x in v], k % 2) for k, v in enumerate(rng.standard_normal((1500, 64)))]
+    written, write = [], embedding_join.materialize
+
+    def counted(df, name):
+        stored = write(df, name)
+        written.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(embedding_join, "materialize", counted)
+    found = embedding_join.near_duplicates(spark.createDataFrame(rows, VECTORS))
+    assert {r.vec_id for r in found.collect()} == set(range(1500))
+    assert max(written) <= len(rows)
+
+
+def test_candidates_of_tiles_have_every_pair_within_the_budget():
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((60, 24))
+    near = base[rng.integers(0, 60, 900)] + rng.standard_normal((900, 24)) * rng.choice([0.02, 0.2, 0.4], (900, 1))
+    near = near * np.exp(rng.standard_normal((900, 1)) * 20)
+    cosines = embedding_join.unit(near) @ embedding_join.unit(near).T
+    for least in (0.8, 0.93):
+        cut = embedding_join.tiles(near, np.arange(900), np.ones(900, np.int64), 2 - 2 * least)
+        cut += embedding_join.tiles(near[::-1], np.arange(900), np.ones(900, np.int64), 2 - 2 * least)
+        found = embedding_join._candidates(cut[0], cut[1], 2 - 2 * least, 24)
+        close = cosines[np.ix_(cut[0]["rows"], 899 - cut[1]["rows"])] >= least
+        assert close.sum() > 900 and not (close & ~found).any()
+        assert not found.all()
+
+
 def test_no_vectors(spark):
     assert embedding_join.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 

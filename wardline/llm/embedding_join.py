@@ -2,15 +2,18 @@
 
 Unit vectors with cosine c have the squared distance 2 - 2c, and a rotation keeps it. Cut
 into ``BLOCKS`` blocks of rotated coordinates, a pair within the budget is, in one block at
-least, within the block's share of the budget. Per block, vectors are range-joined on a
-grid over its first ``GRID`` coordinates, with cells a few times wider than the block's
-radius: a vector has a home cell and visits the cells, later in order, that the radius
-reaches. Within a cell, pairs inside the block's budget are candidates; the exact cosine
-of the whole vectors decides. A pair that an earlier block brings together is left to it,
-so links are counted once without a list of pairs.
-
-Equal vectors of a label are one class and compared once. A cell with many vectors is cut
-into chunks, and each pair of chunks is a group of its own, so no cell has to fit one task.
+least, within the block's share of the budget. Such pairs are candidates, and the exact
+cosine of the whole vectors decides.
+
+Equal vectors of a label are one class and compared once. The classes of a label are cut
+into chunks, and each pair of chunks is a group of its own: a vector travels once per chunk
+of its label, in the precision that it came in, and not once per block and cell. There are
+at most ``SPREAD`` chunks until they reach ``CHUNK_BYTES`` each, so what is shuffled stays
+in proportion to the input up to there; all pairs of larger labels take one copy more per
+chunk. Within a group, vectors are ordered by the cells of a grid, a few times wider than a
+block's radius, and joined tile by tile; a block in which the boxes of two tiles are too far
+apart gives no candidates.
+
 Per group the results are linear in its rows: numbers of links, and one edge per vector to
 the least vector that it hangs together with.
 """
@@ -33,7 +36,10 @@ from wardline.operators.store import materialize
 BLOCKS = 8
 GRID = 3
 CELL_RADII = 2.5
+# Vectors of a tile, and the fewest that are worth a chunk.
 CHUNK_ROWS = 2048
+SPREAD = 3
+CHUNK_BYTES = 32 << 20
 SLACK = 1e-9
 LEAST_COSINE = 0.93
 
@@ -50,83 +56,125 @@ def block_slices(dimensions: int, blocks: int = BLOCKS) -> list[slice]:
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Rows at length 1; scaled first, so that squares neither overflow nor vanish."""
+    vectors = vectors.astype(np.float64, copy=False)
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)
-
-
-def cells(vectors: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``row, block, cell, home``: each row's cells in each block, as bytes of coordinates."""
-    dimensions = vectors.shape[1]
-    rotated = unit(vectors) @ rotation(dimensions)
-    rows, numbers, names, homes = [], [], [], []
-    for number, part in enumerate(block_slices(dimensions)):
-        grid = rotated[:, part][:, :GRID]
-        radius = math.sqrt(budget * (part.stop - part.start) / dimensions + SLACK)
-        width = CELL_RADII * radius
-        home = np.floor(grid / width).astype(np.int64)
-        low, high = np.floor((grid - radius) / width), np.floor((grid + radius) / width)
-        for code in range(3 ** grid.shape[1]):
-            # Per coordinate: the home cell, or the one before or after, where in reach.
-            moves = np.array([code // 3**k % 3 - 1 for k in range(grid.shape[1])])
-            if moves.any() and moves[moves != 0][0] < 0:
-                continue
-            reach = np.ones(len(grid), bool)
-            for k, move in enumerate(moves):
-                reach &= (low[:, k] < home[:, k]) if move < 0 else (high[:, k] > home[:, k]) if move > 0 else True
-            found = np.flatnonzero(reach)
-            rows.append(found)
-            numbers.append(np.full(len(found), number))
-            names.append(home[found] + moves)
-            homes.append(np.full(len(found), not moves.any()))
-    wide = max(n.shape[1] for n in names)
-    names = [np.pad(n, ((0, 0), (0, wide - n.shape[1]))) for n in names]
-    return np.concatenate(rows), np.concatenate(numbers), np.concatenate(names), np.concatenate(homes)
-
-
-def _pairs(left: dict, right: dict, same: bool, block: int, least: float) -> Iterator[tuple]:
-    """Counts and edges of one pair of chunks: ids, links, edges from and to."""
-    a, b = unit(left["vectors"]), unit(right["vectors"])
-    dimensions = a.shape[1]
-    turn, parts, budget = rotation(dimensions), block_slices(dimensions), 2 - 2 * least
-    x, y = a @ turn, b @ turn
-
-    def near(number: int) -> np.ndarray:
-        part = parts[number]
-        share = budget * (part.stop - part.start) / dimensions + SLACK
-        return _squared(x[:, part], y[:, part]) <= share
-
-    link = near(block) & (left["home"][:, None] | right["home"])
+def grid_order(rotated: np.ndarray, budget: float) -> np.ndarray:
+    """An order in which vectors of one cell of the first block's grid follow each other."""
+    part = block_slices(rotated.shape[1])[0]
+    radius = math.sqrt(budget * (part.stop - part.start) / rotated.shape[1] + SLACK)
+    cells = np.floor(rotated[:, part][:, :GRID] / (CELL_RADII * radius))
+    return np.lexsort(cells.T[::-1])
+
+
+def tiles(vectors: np.ndarray, ids: np.ndarray, copies: np.ndarray, budget: float) -> list[dict]:
+    """Tiles of unit vectors in grid order; per block the terms of squared distances in single
+    precision and the box of each tile."""
+    turn, parts, out = rotation(vectors.shape[1]), block_slices(vectors.shape[1]), []
+    order = np.concatenate([
+        s + grid_order(unit(vectors[s : s + 16 * CHUNK_ROWS]) @ turn, budget) for s in range(0, len(ids), 16 * CHUNK_ROWS)
+    ]) if len(ids) else np.zeros(0, np.int64)
+    for start in range(0, len(ids), CHUNK_ROWS):
+        some = order[start : start + CHUNK_ROWS]
+        rotated = unit(vectors[some]) @ turn
+        blocks = []
+        for part in parts:
+            x = rotated[:, part]
+            length = (x * x).sum(axis=1)[:, None]
+            one = np.ones_like(length)
+            left, right = np.hstack([x, length, one]), np.hstack([-2 * x, one, length])
+            blocks.append((left.astype(np.float32), right.astype(np.float32), x.min(axis=0), x.max(axis=0)))
+        out.append({"rows": some, "ids": ids[some], "copies": copies[some], "blocks": blocks})
+    return out
+
+
+def _candidates(left: dict, right: dict, budget: float, dimensions: int) -> np.ndarray:
+    """Which pairs of two tiles are within the budget's share in some block."""
+    found = np.zeros((len(left["ids"]), len(right["ids"])), bool)
+    for part, (x, _, low, high), (_, y, least, most) in zip(block_slices(dimensions), left["blocks"], right["blocks"]):
+        width = part.stop - part.start
+        share = budget * width / dimensions + SLACK
+        gap = np.maximum(0, np.maximum(least - high, low - most))
+        if (gap * gap).sum() <= share:
+            # Single precision may be off by some units in the last place per term.
+            found |= x @ y.T <= np.float32(share + 4e-7 * (width + 8))
+    return found
+
+
+def _linked(left: dict, right: dict, same: bool, vectors: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """Pairs of two tiles that link, as a matrix; of a tile with itself, above the diagonal."""
+    link = _candidates(left, right, 2 - 2 * least, vectors[0].shape[1])
     if same:
         link = np.triu(link, 1)
+    count = np.count_nonzero(link)
+    if not count:
+        return link
+    a, b = unit(vectors[0][left["rows"]]), unit(vectors[1][right["rows"]])
+    if count > link.size // 64:
+        return link & (left["ids"][:, None] != right["ids"]) & (a @ b.T >= least)
     link &= left["ids"][:, None] != right["ids"]
-    if link.any():
-        link &= a @ b.T >= least
-    for earlier in range(block):
-        if not link.any():
-            break
-        link &= ~near(earlier)
-    if not link.any():
-        return
-    ids = np.concatenate([left["ids"], right["ids"]])
-    counts = np.concatenate([link @ right["copies"], left["copies"] @ link])
-    # Least id of each row's component within these links.
-    rows, columns = link.any(axis=1), link.any(axis=0)
-    link = link[rows][:, columns]
-    mine, others = left["ids"][rows], right["ids"][columns]
+    x, y = np.nonzero(link)
+    for k in range(0, len(x), 1 << 14):
+        i, j = x[k : k + (1 << 14)], y[k : k + (1 << 14)]
+        link[i, j] = np.einsum("ij,ij->i", a[i], b[j]) >= least
+    return link
+
+
+def _group_links(left: dict, right: dict | None, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a pair of chunks, or of one within itself: ids of linked classes, their numbers of
+    links, and the least id that each hangs together with."""
+    sides = [left] if right is None else [left, right]
+    cut = [tiles(s["vectors"], s["ids"], s["copies"], 2 - 2 * least) for s in sides]
+    starts = np.cumsum([0, *(len(s["ids"]) for s in sides)])
+    ids = np.concatenate([s["ids"] for s in sides])
+    counts, edges = np.zeros(len(ids), np.int64), []
+    for k, x in enumerate(cut[0]):
+        for y in cut[0][k:] if right is None else cut[1]:
+            link = _linked(x, y, x is y, (sides[0]["vectors"], sides[-1]["vectors"]), least)
+            rows, columns = np.flatnonzero(link.any(axis=1)), np.flatnonzero(link.any(axis=0))
+            if not len(rows):
+                continue
+            some = link[np.ix_(rows, columns)]
+            mine, others = x["rows"][rows], starts[len(sides) - 1] + y["rows"][columns]
+            np.add.at(counts, mine, some @ y["copies"][columns])
+            np.add.at(counts, others, x["copies"][rows] @ some)
+            edges.extend(_joined(some, mine, others))
+    some = np.flatnonzero(counts)
+    return ids[some], counts[some], _roots(ids, edges)[some]
+
+
+def _joined(link: np.ndarray, mine: np.ndarray, others: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Edges from the vectors of two tiles to the first of their component."""
+    big = len(mine)
+    a = np.arange(len(mine))
+    while True:
+        b = np.where(link, a[:, None], big).min(axis=0)
+        best = np.minimum(a, np.where(link, b, big).min(axis=1))
+        if (best == a).all():
+            return [(mine, mine[a]), (others, mine[b])]
+        a = best
+
+
+def _roots(ids: np.ndarray, edges: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The least id that each one hangs together with."""
+    a, b = (np.concatenate([e[k] for e in edges]) if edges else np.zeros(0, np.int64) for k in (0, 1))
+    order = np.argsort(ids, kind="stable")
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids))
+    a, b = rank[a], rank[b]
+    root = np.arange(len(ids))
     while True:
-        best = np.minimum(mine, np.where(link, others, np.iinfo(np.int64).max).min(axis=1))
-        theirs = np.minimum(others, np.where(link, best[:, None], np.iinfo(np.int64).max).min(axis=0))
-        if (best == mine).all() and (theirs == others).all():
-            break
-        mine, others = best, theirs
-    some = counts > 0
-    roots = np.full(len(ids), -1, np.int64)
-    roots[np.flatnonzero(np.concatenate([rows, columns]))] = np.concatenate([mine, others])
-    yield ids[some], counts[some], roots[some]
+        # Hang the greater of two roots under the smaller, then shorten all ways.
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return ids[order[root[rank]]]
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
@@ -138,35 +186,38 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     full count as one vector and are repeated in the result. Further columns are not read.
     """
     base = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", "label")
+    label = base.schema["label"].dataType.simpleString()
+    # Kept in single precision if it came so; only digests are worked out from all other kinds.
+    kind = base.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    base = base.withColumn("embedding", F.col("embedding").cast(kind))
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digest(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("embedding")
-            good, hashes, sizes = [], [], []
+            hashes, sizes = [], []
             for value in lists:
                 found = np.array(value.values.to_numpy(zero_copy_only=False) if value.is_valid else [], np.float64)
                 fine = bool(len(found) and np.isfinite(found).all() and found.any())
-                good.append(fine)
                 sizes.append(len(found))
                 hashes.append(xxhash.xxh3_128_digest(found.tobytes()) if fine else None)
-            yield pa.RecordBatch.from_pydict({
-                "vec_id": batch.column("vec_id"), "label": batch.column("label"), "embedding": lists,
-                "digest": array(hashes, pa.binary()), "size": array(sizes, pa.int32()),
-            })
+            columns = {"vec_id": batch.column("vec_id"), "label": batch.column("label")}
+            columns |= {"digest": array(hashes, pa.binary()), "size": array(sizes, pa.int32())}
+            yield pa.RecordBatch.from_pydict(columns | ({"embedding": lists} if whole else {}))
 
-    label = base.schema["label"].dataType.simpleString()
-    kind = base.schema["embedding"].dataType.simpleString()
-    hashed = base.mapInArrow(digest, f"vec_id bigint, label {label}, embedding {kind}, digest binary, size int")
-    hashed = materialize(hashed, "vectors")
-    usable = hashed.where("digest IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL")
+    schema = f"vec_id bigint, label {label}, digest binary, size int"
+    hashed = materialize(base.mapInArrow(lambda batches: digest(batches, False), schema), "vectors")
+    usable = "digest IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL"
     classes = materialize(
-        usable.select("label", "digest", "vec_id").distinct().groupBy("label", "digest")
-        .agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies")),
+        hashed.where(usable).select("label", "digest", "vec_id", "size").distinct().groupBy("label", "digest")
+        .agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"), F.max("size").alias("size")),
         "vector-classes",
     )
-    unique = usable.dropDuplicates(["label", "digest", "vec_id"])
-    heads = unique.join(classes, ["label", "digest"]).where("vec_id = class_id")
-    heads = heads.select("class_id", "label", "size", "copies", F.col("embedding").cast("array<double>").alias("embedding"))
+    # The vectors are read again, rather than written, and travel to their classes once.
+    heads = base.mapInArrow(lambda batches: digest(batches, True), f"{schema}, embedding {kind}").where(usable)
+    dealt = _dealt(classes, 4 if kind == "array<float>" else 8).withColumnRenamed("class_id", "vec_id")
+    key = ["label", "digest", "vec_id"]
+    heads = heads.drop("size").join(dealt, key).dropDuplicates(key).withColumnRenamed("vec_id", "class_id").drop("digest")
     found = materialize(_links(heads, least), "vector-links")
     counts = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     edges = found.where("root <> class_id").select("class_id", "root")
@@ -183,37 +234,25 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def _dealt(classes: DataFrame, width: int) -> DataFrame:
+    """The classes that others of their label and size may link with, and in how many chunks
+    these are cut; ``width`` is the number of bytes of a component."""
+    held = classes.groupBy("label", "size").agg(F.count("*").alias("held")).where("held > 1")
+    few = F.least(F.ceil(F.col("held") / CHUNK_ROWS), F.lit(SPREAD))
+    chunks = F.greatest(few, F.ceil(F.col("held") * F.col("size") * width / CHUNK_BYTES)).cast("int")
+    return classes.join(held.select("label", "size", chunks.alias("chunks")), ["label", "size"])
+
+
 def _links(heads: DataFrame, least: float) -> DataFrame:
     """``class_id, links, root``, several rows per class; links are of vectors."""
-    budget = 2 - 2 * least
-    label = heads.schema["label"].dataType.simpleString()
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            for size in np.unique(sizes):
-                some = batch.filter(pa.array(sizes == size))
-                vectors = some.column("embedding").flatten().to_numpy().reshape(-1, size)
-                for start in range(0, len(vectors), 1024):
-                    rows, blocks, names, homes = cells(vectors[start : start + 1024], budget)
-                    taken = some.take(pa.array(rows + start))
-                    columns = [*taken.columns, array(blocks, pa.int32())]
-                    columns.append(pa.array([n.tobytes() for n in names], pa.binary()))
-                    columns.append(pa.array(homes))
-                    yield pa.RecordBatch.from_arrays(columns, [*taken.schema.names, "block", "cell", "home"])
-
-    schema = f"class_id bigint, label {label}, size int, copies bigint, embedding array<double>"
-    dealt = materialize(heads.mapInArrow(deal, schema + ", block int, cell binary, home boolean"), "vector-cells")
-    keys = ["label", "size", "block", "cell"]
-    held = dealt.groupBy(*keys).agg(F.count("*").alias("held"), F.max("home").alias("any_home"))
-    chunks = held.where("held > 1 AND any_home").select(*keys, F.ceil(F.col("held") / CHUNK_ROWS).cast("int").alias("chunks"))
-    mine = F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int")
-    spread = dealt.join(chunks, keys).withColumn("mine", mine)
+    keys = ["label", "size"]
+    spread = heads.withColumn("mine", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    spread = spread.select("*", other).withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
+    spread = spread.select("class_id", *keys, "copies", "embedding", "mine", other)
+    spread = spread.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")})
 
     def join(group: pa.Table) -> pa.Table:
-        size, block = group.column("size")[0].as_py(), group.column("block")[0].as_py()
+        size = group.column("size")[0].as_py()
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
         mine = group.column("mine").to_numpy()
 
@@ -222,20 +261,11 @@ def _links(heads: DataFrame, least: float) -> DataFrame:
             flat = some.column("embedding").combine_chunks().flatten().to_numpy()
             return {
                 "ids": some.column("class_id").to_numpy(), "copies": some.column("copies").to_numpy(),
-                "home": some.column("home").to_numpy(), "vectors": flat.reshape(-1, size),
+                "vectors": flat.reshape(-1, size),
             }
 
-        left = side(low)
-        right = left if low == high else side(high)
-        out = []
-        # A chunk is about CHUNK_ROWS rows; tiles bound the matrices whatever the hash does.
-        for a in range(0, len(left["ids"]), CHUNK_ROWS):
-            for b in range(a if low == high else 0, len(right["ids"]), CHUNK_ROWS):
-                tile = [{k: v[s : s + CHUNK_ROWS] for k, v in x.items()} for x, s in ((left, a), (right, b))]
-                out.extend(_pairs(*tile, low == high and a == b, block, least))
-        columns = [np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3)]
-        return pa.table([array(c, pa.int64()) for c in columns], ["class_id", "links", "root"])
-
-    # One key of all: the join's partitioning by cell would else serve, with hot tasks.
-    groups = spread.withColumn("pair", F.struct(*keys, "low", "high")).groupBy("pair")
+        found = _group_links(side(low), None if low == high else side(high), least)
+        return pa.table([array(c, pa.int64()) for c in found], ["class_id", "links", "root"])
+
+    groups = spread.withColumn("pair", F.struct(*keys, "low", "high")).drop("other").groupBy("pair")
     return groups.applyInArrow(join, "class_id bigint, links bigint, root bigint")
